@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,12 +48,27 @@ class Scratch:
         path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def ship(spark: SparkSession) -> None:
+    """Give the executors this package's source, once a Spark context."""
+    context = spark.sparkContext
+    if getattr(context, "_tallyforge_shipped", False):
+        return
+    package = Path(__file__).resolve().parents[1]
+    archive = Path(tempfile.mkdtemp(prefix="tallyforge-")) / "tallyforge_src.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for source in sorted(package.rglob("*.py")):
+            z.write(source, source.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    context._tallyforge_shipped = True
+
+
 def tune(spark: SparkSession) -> None:
     """Bound Arrow batches by bytes, and free a finished query's shuffle files at once.
 
     Both matter for long texts: a batch of 10,000 long documents would not fit a worker, and
     shuffle files of a phase whose result is already written only fill disks.
     """
+    ship(spark)
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
     spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
