@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from tallyforge.llm.common import table
 from tallyforge.llm.decontamination import find_leaks
 from tallyforge.llm.quality import judge
+from tallyforge.llm.sentencepiece_codec import Pieces, code_texts
 from tallyforge.llm.substring_dedup import drop_repeats
 from tallyforge.llm.suffix_dedup import mark_repeats
 from tallyforge.llm.token_counts import count_tokens
+from tallyforge.llm.toxicity import toxicity
 
 
 def tokenizer_file(name: str) -> str:
@@ -32,6 +34,14 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(table(spark, sf_dir, "documents"))
 
 
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return code_texts(table(spark, sf_dir, "documents"), Pieces.read(tokenizer_file("piece_bpe_32k.model")))
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drop_repeats(table(spark, sf_dir, "documents"))
 
@@ -44,6 +54,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
     "op5_quality_rules": op5_quality_rules,
+    "op6_sentencepiece": op6_sentencepiece,
+    "op8_toxicity": op8_toxicity,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_suffix_array_dedup": op10_suffix_array_dedup,
 }
