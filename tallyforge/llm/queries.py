@@ -10,10 +10,13 @@ from tallyforge.llm.common import table
 from tallyforge.llm.decontamination import find_leaks
 from tallyforge.llm.quality import judge
 from tallyforge.llm.sentencepiece_codec import Pieces, code_texts
+from tallyforge.llm.sharding import ORACLE as SHARDING_SQL
+from tallyforge.llm.sharding import assign_shards
 from tallyforge.llm.substring_dedup import drop_repeats
 from tallyforge.llm.suffix_dedup import mark_repeats
 from tallyforge.llm.token_counts import count_tokens
 from tallyforge.llm.toxicity import toxicity
+from tallyforge.llm.warc_revisits import captures_of_pages, resolve_revisits
 
 
 def tokenizer_file(name: str) -> str:
@@ -30,6 +33,10 @@ def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return assign_shards(table(spark, sf_dir, "documents"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(table(spark, sf_dir, "documents"))
 
@@ -38,6 +45,10 @@ def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return code_texts(table(spark, sf_dir, "documents"), Pieces.read(tokenizer_file("piece_bpe_32k.model")))
 
 
+def op7_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resolve_revisits(captures_of_pages(table(spark, sf_dir, "pages")))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -53,11 +64,15 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
+    "op3_sharding": op3_sharding,
     "op5_quality_rules": op5_quality_rules,
     "op6_sentencepiece": op6_sentencepiece,
+    "op7_warc_revisits": op7_warc_revisits,
     "op8_toxicity": op8_toxicity,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_suffix_array_dedup": op10_suffix_array_dedup,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op3_sharding": SHARDING_SQL,
+}
