@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyforge.llm.common import pick, tune
+from tallyforge.llm.common import tune
 
 BLOCK_BYTES = 16 * 1024 * 1024
 #: Every so many-th position of a run keeps its place in the text.
@@ -195,13 +195,15 @@ def keep_text(text: str, spans: np.ndarray) -> str:
     return b"".join([*out, data[at:]]).decode()
 
 
-def find_leaks(docs: DataFrame, items: DataFrame, *, size: int = 10, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text", text_out: bool = False) -> DataFrame:
-    """Per document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated; with ``text_out`` also the clean text."""
+def find_leaks(docs: DataFrame, items: DataFrame, *, size: int = 10, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text", also: tuple[str, ...] = (), text_out: bool = False) -> DataFrame:
+    """Per document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated, and the columns
+    named in ``also``; with ``text_out`` the clean text too."""
     spark = docs.sparkSession
     tune(spark)
     shared = blocks(items, item_id_col, item_text_col, size)
-    base = pick(docs, id_col, text_col)
-    kind = base.schema["doc_id"].dataType.simpleString()
+    base = docs.select(docs[id_col].alias("doc_id"), F.coalesce(docs[text_col], F.lit("")).alias("text"), *(docs[c] for c in also))
+    kept = [f for f in base.schema.fields if f.name != "text"]
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in kept)
 
     def run(batches):
         for b in batches:
@@ -223,12 +225,12 @@ def find_leaks(docs: DataFrame, items: DataFrame, *, size: int = 10, id_col: str
             hit = np.cumsum(edge)[:-1] > 0
             names = [sorted(map(str, s)) for s in met]
             hits = [hit[s : s + n] for s, n in zip(base, sizes, strict=True)]
-            made = [b.column(0), pa.array(sizes), pa.array([int(h.sum()) for h in hits], pa.int64()), pa.array(list(map(len, names)), pa.int64()), pa.array([hashlib.sha256(",".join(n).encode()).hexdigest() for n in names])]
-            labels = ["doc_id", "n_words", "n_hit", "n_items", "items_sha256"]
+            made = [*(b.column(f.name) for f in kept), pa.array(sizes), pa.array([int(h.sum()) for h in hits], pa.int64()), pa.array(list(map(len, names)), pa.int64()), pa.array([hashlib.sha256(",".join(n).encode()).hexdigest() for n in names])]
+            labels = [*(f.name for f in kept), "n_words", "n_hit", "n_items", "items_sha256"]
             if text_out:
                 made.append(pa.array([keep_text(t, h) if h.any() else t for t, h in zip(raw, hits, strict=True)], pa.string()))
                 labels.append("text")
             yield pa.RecordBatch.from_arrays(made, labels)
 
-    found = base.mapInArrow(run, f"doc_id {kind}, n_words long, n_hit long, n_items long, items_sha256 string" + ", text string" * text_out)
+    found = base.mapInArrow(run, f"{kinds}, n_words long, n_hit long, n_items long, items_sha256 string" + ", text string" * text_out)
     return found.withColumn("contaminated", F.col("n_hit") > 0)

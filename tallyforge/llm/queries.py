@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tallyforge.llm.common import table
 from tallyforge.llm.decontamination import find_leaks
+from tallyforge.llm.near_duplicates import near_duplicates
 from tallyforge.llm.quality import judge
 from tallyforge.llm.sentencepiece_codec import Pieces, code_texts
 from tallyforge.llm.sharding import ORACLE as SHARDING_SQL
@@ -37,6 +38,11 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assign_shards(table(spark, sf_dir, "documents"))
 
 
+def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "group_id", "n_links", "group_size")
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(table(spark, sf_dir, "documents"))
 
@@ -65,6 +71,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
     "op3_sharding": op3_sharding,
+    "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
     "op5_quality_rules": op5_quality_rules,
     "op6_sentencepiece": op6_sentencepiece,
     "op7_warc_revisits": op7_warc_revisits,

@@ -211,21 +211,23 @@ def training_rows(docs: DataFrame, labels: DataFrame, *, per_class: int = 1500,
     return rows
 
 
-def score_texts(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.7) -> DataFrame:
-    """doc_id, held_out, score, predicted of every text."""
+def score_texts(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.7, also: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, held_out, score, predicted of every text; with columns named in ``also``, these and the text too."""
     spark = docs.sparkSession
     tune(spark)
     shared = spark.sparkContext.broadcast(model)
-    base = pick(docs, id_col, text_col)
-    kind = base.schema["doc_id"].dataType.simpleString()
+    base = docs.select(docs[id_col].alias("doc_id"), F.coalesce(docs[text_col], F.lit("")).alias("text"), *(docs[c] for c in also))
+    out = [f for f in base.schema.fields if f.name != "text" or also]
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in out)
 
     def run(batches):
         score = Scorer(shared.value)
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(score(b.column(1).to_pylist()), pa.float64())], ["doc_id", "score"])
+            scores = pa.array(score(b.column(1).to_pylist()), pa.float64())
+            yield pa.RecordBatch.from_arrays([*(b.column(f.name) for f in out), scores], [*(f.name for f in out), "score"])
 
-    found = base.mapInArrow(run, f"doc_id {kind}, score double")
-    return found.select("doc_id", held_out("doc_id").alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+    found = base.mapInArrow(run, f"{kinds}, score double")
+    return found.select(*(f.name for f in out), held_out("doc_id").alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, **settings: int) -> DataFrame:
