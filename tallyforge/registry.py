@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tallyforge.session import ship
+
 Tables = Callable[[str], DataFrame]
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -16,6 +18,7 @@ def query(sql: str | None = None):
 
     def keep(build: Callable[[Tables], DataFrame]):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship(spark)
             return build(lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
         QUERIES[build.__name__] = run

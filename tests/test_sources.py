@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyforge.functions import parsing as P
+from tallyforge.functions.text import code_units, packed_ratio, strip_accents, word_pieces
 from tallyforge.sources import binary as B
 from tallyforge.sources import sinks
 from tallyforge.sources import tables as T
@@ -165,3 +166,12 @@ def test_streaming(spark, tmp_path):
     query = windowed_totals(stream).writeStream.format("memory").queryName("totals").outputMode("complete").option("checkpointLocation", str(tmp_path / "cp2")).trigger(availableNow=True).start()
     query.awaitTermination()
     assert rows(spark.table("totals"), "event_type", "n", "total") == [("a", 5, 10.0)]
+
+
+def test_texts(spark):
+    df = spark.createDataFrame([(1, "Éa"), (2, ""), (3, None), (4, "a🙂")], "k int, t string")
+    got = {r.k: (r.plain, r.units, r.ratio) for r in df.select("k", strip_accents("t").alias("plain"), code_units(F.col("t")).alias("units"), packed_ratio(F.encode("t", "UTF-8")).alias("ratio")).collect()}
+    assert got[1][:2] == ("Ea", [201, 97]) and got[2] == ("", [], None) and got[3][0] is None and got[4][1] == [97, 0xD83D, 0xDE42]
+    pieces = word_pieces({"un": 1, "##able": 2, "##aff": 3, "a": 4}, 0)
+    words = spark.createDataFrame([("unaffable",), ("a",), ("b",), ("una",)], "w string")
+    assert [r[0] for r in words.select(pieces("w")).collect()] == [[1, 3, 2], [4], [0], [0]]
