@@ -1,4 +1,4 @@
 """All queries of the library: importing the plans registers them."""
 
-from tallyforge.plans import audits, cleaning, orderings, relations, texts  # noqa: F401
+from tallyforge.plans import audits, cleaning, identities, orderings, relations, texts  # noqa: F401
 from tallyforge.registry import ORACLES, QUERIES  # noqa: F401
