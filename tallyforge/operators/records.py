@@ -76,10 +76,17 @@ def keep_last(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     return keep_first(df, keys, [F.desc(c) for c in order])
 
 
-def dictionary(df: DataFrame, value: str, first_seen: str | None = None) -> DataFrame:
-    """value, code (from 1): in the order of first appearance, or sorted. Only distinct values meet in the ranking."""
+def dictionary(df: DataFrame, value: str, first_seen: str | None = None, capacity: int = 65_535) -> DataFrame:
+    """value, code (from 1; 0 is for missing): in the order of first appearance, or sorted.
+
+    More distinct values than ``capacity`` are an error. The bound also keeps the final ranking
+    small: the first ``capacity + 1`` values are picked in parallel before they meet in one task.
+    """
     order = F.min(first_seen) if first_seen else F.first(value)
-    return df.where(F.col(value).isNotNull()).groupBy(value).agg(order.alias("_o")).withColumn("code", F.row_number().over(W.orderBy("_o", value))).drop("_o")
+    seen = df.where(F.col(value).isNotNull()).groupBy(value).agg(order.alias("_o")).orderBy("_o", value).limit(capacity + 1)
+    code = F.row_number().over(W.orderBy("_o", value))
+    checked = F.when(F.col("_c") <= capacity, F.col("_c")).otherwise(F.raise_error(F.lit(f"more than {capacity} values in {value}")).cast("int"))
+    return seen.withColumn("_c", code).select(value, checked.alias("code"))
 
 
 def shards(df: DataFrame, keys: list[str], order: list[str], size: int) -> DataFrame:

@@ -175,3 +175,12 @@ def test_texts(spark):
     pieces = word_pieces({"un": 1, "##able": 2, "##aff": 3, "a": 4}, 0)
     words = spark.createDataFrame([("unaffable",), ("a",), ("b",), ("una",)], "w string")
     assert [r[0] for r in words.select(pieces("w")).collect()] == [[1, 3, 2], [4], [0], [0]]
+
+
+def test_dictionary_capacity(spark):
+    from tallyforge.operators.records import dictionary
+
+    df = spark.createDataFrame([("b", 1), ("a", 2), (None, 0), ("b", 3)], "v string, o int")
+    assert rows(dictionary(df, "v", "o", capacity=2), "v", "code") == [("a", 2), ("b", 1)]
+    with pytest.raises(Exception, match="more than 1 values"):
+        dictionary(df, "v", capacity=1).collect()
