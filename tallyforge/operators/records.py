@@ -40,11 +40,18 @@ def acceptance(index: DataFrame, keys: list[str], *, min_values: int, min_bytes:
 
 
 def distribution(index: DataFrame, keys: list[str], value: str = "value_count") -> DataFrame:
-    """Percentiles by linear interpolation, mode share and extremes."""
-    share = index.groupBy(*keys, value).count().groupBy(*keys).agg((F.max("count") / F.sum("count")).alias("mode_share"))
+    """Percentiles by linear interpolation, mode share and extremes; all from the counts of distinct values."""
     quantiles = [0.1, 0.25, 0.5, 0.75, 0.9]
-    sums = index.groupBy(*keys).agg(F.count("*").alias("samples"), F.sum(value).alias("total"), F.min(value).alias("low"), F.max(value).alias("high"), F.percentile(value, F.array(*map(F.lit, quantiles))).alias("p"))
-    return sums.join(share, keys).select(*keys, "samples", "total", "low", "high", *(F.col("p")[i].alias(f"p{int(q * 100)}") for i, q in enumerate(quantiles)), "mode_share")
+    counts = index.groupBy(*keys, value).agg(F.count("*").alias("_n"))
+    sums = counts.groupBy(*keys).agg(
+        F.sum("_n").alias("samples"),
+        F.sum(F.col(value) * F.col("_n")).alias("total"),
+        F.min(value).alias("low"),
+        F.max(value).alias("high"),
+        F.percentile(value, F.array(*map(F.lit, quantiles)), F.col("_n")).alias("p"),
+        (F.max("_n") / F.sum("_n")).alias("mode_share"),
+    )
+    return sums.select(*keys, "samples", "total", "low", "high", *(F.col("p")[i].alias(f"p{int(q * 100)}") for i, q in enumerate(quantiles)), "mode_share")
 
 
 def degenerate(long: DataFrame, keys: list[str], value: str = "value", sparse: float = 0.001) -> DataFrame:
