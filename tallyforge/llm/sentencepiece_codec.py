@@ -8,8 +8,8 @@ each place. A place keeps the best way to reach it, relaxed over those pieces:
   merges of the last piece before it and its own would leave the two apart; exactly one piece
   at each place is, and the last place's chain is what merging the whole word gives.
 
-No piece holds a word mark after another character, so words are coded each by itself and
-remembered up to a bound. A character without a piece becomes its bytes' pieces, or else the
+Texts are coded in chunks that no piece can cross, remembered up to a bound: no piece holds a
+word mark after another character, and the piece list tells which signs never follow a letter. A character without a piece becomes its bytes' pieces, or else the
 unknown piece.
 
 Defined results: null and empty texts have no pieces; decoding gives the text back, but for
@@ -20,7 +20,8 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Callable
+import string
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 from itertools import chain
 
@@ -33,7 +34,18 @@ from tallyforge.llm.common import pick, tune
 
 MEMO = 200_000
 MARK = "▁"
-WORDS = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
+
+
+def chunk_pattern(names: Iterable[str]) -> str:
+    """A pattern for chunks whose borders stand inside no piece: before marks, between Latin
+    letters and the signs that follow none of them in any piece, and around line ends."""
+    plain = f"{MARK}+[^{MARK}]*|[^{MARK}]+"
+    if any("\n" in name for name in names):
+        return plain
+    letters = "".join(c for c in map(chr, range(0x250)) if c.isalpha())
+    after = {name[i + 1] for name in names for i in range(len(name) - 1) if name[i] in letters}
+    signs = "".join(re.escape(c) for c in string.punctuation if c not in after)
+    return f"{MARK}*[{letters}]+(?=[{MARK}\n{signs}]|$)|{MARK}+[^{MARK}\n]*|[^{MARK}\n]+|\n+"
 
 
 def merge(text: str, ranks: dict[str, int], least: int = 1) -> list[str]:
@@ -86,6 +98,7 @@ class Codec:
         import ahocorasick
 
         self.pieces, self.words, self.apart = pieces, {}, {}
+        self.chunks = re.compile(chunk_pattern(pieces.scores))
         self.automaton = ahocorasick.Automaton()
         for name in pieces.scores:
             if pieces.bpe and len(name) > 1 and name not in pieces.halves:
@@ -99,46 +112,70 @@ class Codec:
         Goes back in time from the finished pieces: the later-made of the two at the border is
         undone until a merge across the border would have come first, or nothing is left to undo.
         """
-        key = (left, right)
-        known = self.apart.get(key)
-        if known is None:
-            if len(self.apart) > MEMO:
-                self.apart.clear()
-            halves, ranks = self.pieces.halves, self.pieces.ranks
-            limit, known = len(ranks), True
-            while ranks.get(left + right, limit) >= limit:
-                x, y = (ranks[p] if p in halves else -1 for p in (left, right))
-                if x > y:
-                    limit, left = x, halves[left][1]
-                elif y >= 0:
-                    limit, right = y + 1, halves[right][0]  # among equal merges the left one, across, is first
-                else:
-                    break
+        halves, ranks = self.pieces.halves, self.pieces.ranks
+        limit = len(ranks)
+        while ranks.get(left + right, limit) >= limit:
+            x, y = (ranks[p] if p in halves else -1 for p in (left, right))
+            if x > y:
+                limit, left = x, halves[left][1]
+            elif y >= 0:
+                limit, right = y + 1, halves[right][0]  # among equal merges the left one, across, is first
             else:
-                known = False
-            self.apart[key] = known
-        return known
+                return True
+        return False
 
-    def split(self, word: str) -> list[str]:
-        """The pieces of one word, by the Viterbi pass."""
-        n = len(word)
+    def _merged(self, word: str) -> list[str]:
+        """The last piece at each place of a word under a BPE model, and so the pieces of the word.
+
+        The automaton names the pieces at a place from the longest to the shortest; the first
+        that may follow is the one. A place without a name has its character alone.
+        """
+        last, settled, apart = [""] * (len(word) + 1), 0, self.apart
+        for end, name in self.automaton.iter(word):
+            if end < settled:
+                continue
+            while settled < end:
+                settled += 1
+                last[settled] = word[settled - 1]
+            before = last[end + 1 - len(name)]
+            if before:
+                known = apart.get(before)
+                if known is None:
+                    if len(apart) > MEMO // 8:
+                        apart.clear()
+                    known = apart[before] = {}
+                good = known.get(name)
+                if good is None:
+                    good = known[name] = self._stay_apart(before, name)
+                if not good:
+                    continue
+            settled = end + 1
+            last[settled] = name
+        while settled < len(word):
+            settled += 1
+            last[settled] = word[settled - 1]
+        return last
+
+    def _best(self, word: str) -> list[str]:
+        """The last piece at each place of a word on the way of the highest score sum under a unigram model."""
+        scores = self.pieces.scores
+        worst = min((s for _, s in scores.values()), default=0.0) - 10.0
         ways: list[list[str]] = [[c] for c in word]
         for end, name in self.automaton.iter(word):
             if len(name) > 1:
                 ways[end].append(name)
-        last = [""] * (n + 1)
-        if self.pieces.bpe:
-            for end in range(n):
-                last[end + 1] = next(p for p in reversed(ways[end]) if len(p) > end or self._stay_apart(last[end + 1 - len(p)], p))
-        else:
-            worst = min((s for _, s in self.pieces.scores.values()), default=0.0) - 10.0
-            score = [0.0] + [-np.inf] * n
-            for end in range(n):
-                for p in ways[end]:
-                    s = score[end + 1 - len(p)] + self.pieces.scores.get(p, (0, worst))[1]
-                    if s > score[end + 1]:
-                        score[end + 1], last[end + 1] = s, p
-        out, at = [], n
+        last, score = [""] * (len(word) + 1), [0.0] + [-np.inf] * len(word)
+        for end, names in enumerate(ways):
+            for p in names:
+                s = score[end + 1 - len(p)] + scores.get(p, (0, worst))[1]
+                if s > score[end + 1]:
+                    score[end + 1], last[end + 1] = s, p
+        return last
+
+    def split(self, word: str) -> list[str]:
+        """The pieces of one word, by the Viterbi pass."""
+        last = self._merged(word) if self.pieces.bpe else self._best(word)
+        out, at = [], len(word)
         while at:
             out.append(last[at])
             at -= len(last[at])
@@ -161,7 +198,7 @@ class Codec:
             return []
         if len(self.words) > MEMO:
             self.words.clear()
-        known, words = self.words, WORDS.findall(MARK + text.replace(" ", MARK))
+        known, words = self.words, self.chunks.findall(MARK + text.replace(" ", MARK))
         for w in words:
             if w not in known:
                 known[w] = self._ids(w)
