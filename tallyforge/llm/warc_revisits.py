@@ -77,10 +77,11 @@ def captures_of_pages(pages: DataFrame) -> DataFrame:
     A tenth of the revisits carries another entity tag, a tenth has only a digest, and a fifth
     comes before the page's own response, so it can resolve to an earlier page of the same URL only.
     """
-    n, digest = F.col("page_id"), F.md5(F.coalesce("html", F.lit("")))
+    html = F.coalesce("html", F.lit(""))
+    pages = pages.select("page_id", "url", F.md5(html).alias("digest"), F.octet_length(html).cast("string").alias("size"))
+    n, digest, size = F.col("page_id"), F.col("digest"), F.col("size")
     tag = F.concat(F.lit('"'), F.substring(digest, 1, 16), F.lit('"'))
     header = lambda **kv: F.map_from_arrays(F.array(*(F.lit(k.replace("_", "-")) for k in kv)), F.array(*kv.values()))
-    size = F.octet_length(F.coalesce("html", F.lit(""))).cast("string")
     asked = F.concat(F.regexp_replace("url", "#.*$", ""), F.lit("#again"))
     sent = F.when(n % 10 == 3, F.lit('"other"')).when(n % 10 != 4, F.concat(F.lit("W/"), tag))
     none = F.lit(None).cast("string")
