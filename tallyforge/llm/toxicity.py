@@ -2,8 +2,13 @@
 
 The kernel of two words sums, over all four-character subsequences that both have within a
 span of six characters, a decay for each character skipped; word ends count as characters. An
-insult with inserted or left-out characters so keeps most of its likeness. A power of the
-scaled kernel sharpens it. Landmarks are words of labelled training sentences; a sentence is
+insult with up to two inserted or left-out characters so keeps most of its likeness. A power of
+the scaled kernel sharpens it. Signs and spaces are no characters of a word: a token with signs
+inside counts as its parts and as the whole without the signs, and neighbouring single letters
+count joined as well, so an insult with any number of dots, stars or spaces between its letters
+counts whole. Longer neighbouring parts are joined in scoring where they spell a toxic
+landmark. Sentences end at a line's end, or at a stop before white space that follows no single
+letter. Landmarks are words of labelled training sentences; a sentence is
 the sum of its distinct words, so after training every word has one number, remembered by the
 workers.
 
@@ -21,6 +26,8 @@ lack a class, the score is 0; a label that is null is not used; repeated rows sc
 from __future__ import annotations
 
 import re
+import sys
+import unicodedata
 from dataclasses import dataclass
 
 import numpy as np
@@ -33,19 +40,56 @@ from tallyforge.llm.common import pick, tune
 MEMO = 200_000
 BITS = 20
 DECAY = 0.6
-SHARPEN = 4
+SHARPEN = 2
 #: The hinge losses' total weight against the ridge penalty.
 COST = 100_000.0
 #: Training sentences whose words are held at once.
 SENTENCES = 2000
 #: Places of a subsequence's characters from its first one on: all choices within six.
 PLACES = [(0, a, b, c) for a in range(1, 4) for b in range(a + 1, 5) for c in range(b + 1, 6)]
-SENTENCE = re.compile(r"[.!?\n]+")
-EDGE = "\"'()[]{}|,;:*#$%&<>-"
-
-
-def sentences(text: str) -> list[list[str]]:
-    return [w for s in SENTENCE.split(text.lower()) if (w := [x for t in dict.fromkeys(s.split()) if (x := t.strip(EDGE))])]
+SENTENCE = re.compile(r"(?<!\b\w)[.!?]+(?=\s|$)|\n+")
+#: Single letters joined at most.
+JOINED = 12
+#: Signs part a token; apostrophes and invisible characters do not.
+KINDS = ((c, unicodedata.category(chr(c))) for c in range(sys.maxunicode + 1))
+SIGNS = {c: " " if kind != "Cf" else None for c, kind in KINDS if kind[0] in "PS" or kind == "Cf"} | {ord("'"): None, ord("’"): None}
+
+
+def parts_and_wholes(sentence: str, spelled: frozenset[str], starts: frozenset[str]) -> list[str]:
+    """The distinct parts of a sentence's tokens, then tokens and neighbouring parts joined over signs and spaces."""
+    parts, wholes = [], {}
+    for t in sentence.split():
+        if t.isalnum():
+            parts.append(t)
+            continue
+        inner = t.translate(SIGNS).split()
+        parts += inner
+        if len(inner) > 1:
+            wholes["".join(inner)] = None
+    for a, w in enumerate(parts):
+        if len(w) == 1:
+            for b in range(a + 1, min(a + JOINED, len(parts))):
+                if len(parts[b]) > 1:
+                    break
+                w += parts[b]
+                if b > a + 1:
+                    wholes[w] = None
+            w = parts[a]
+        b = a
+        while w in starts and (b := b + 1) < len(parts):
+            w += parts[b]
+            if w in spelled:
+                wholes[w] = None
+    return list(dict.fromkeys([*parts, *wholes]))
+
+
+def beginnings(words: frozenset[str]) -> frozenset[str]:
+    return frozenset(w[:n] for w in words for n in range(1, len(w)))
+
+
+def sentences(text: str, spelled: frozenset[str] = frozenset(), starts: frozenset[str] = frozenset()) -> list[list[str]]:
+    """Words by sentence; ``spelled`` are those that neighbouring parts may spell, ``starts`` their beginnings."""
+    return [w for s in SENTENCE.split(text.lower()) if (w := parts_and_wholes(s, spelled, starts))]
 
 
 def subsequences(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -136,6 +180,8 @@ class Model:
     beta: np.ndarray
     bias: float
     scale: np.ndarray
+    #: Toxic landmarks, which neighbouring parts may spell.
+    spelled: frozenset[str] = frozenset()
 
 
 def digest(scores: np.ndarray) -> list[float]:
@@ -161,7 +207,9 @@ def train(rows: list[tuple[str, int]], *, landmarks: int = 160) -> Model:
     words = sorted(met)
     clean, toxic = (np.array([met[w][c] for w in words], float) for c in (0, 1))
     odds = (np.log((toxic + 1) / (n[1] + 2)) - np.log((clean + 1) / (n[0] + 2))) / np.sqrt(1 / (toxic + 1) + 1 / (clean + 1))
-    chosen = [words[i] for i in np.argsort(-odds, kind="stable")[: landmarks * 3 // 4]]
+    best = np.argsort(-odds, kind="stable")[: landmarks * 3 // 4]
+    chosen = [words[i] for i in best]
+    spelled = frozenset(words[i] for i in best if odds[i] > 0)
     chosen += [words[i] for i in np.argsort(-clean, kind="stable")[: landmarks // 4]]
     chosen = list(dict.fromkeys(chosen))
     kernel = Kernel(chosen)
@@ -189,12 +237,12 @@ def train(rows: list[tuple[str, int]], *, landmarks: int = 160) -> Model:
             mine = np.flatnonzero(of == d)
             use[mine[np.argsort(-score[mine], kind="stable")[: max(1, len(mine) // 3)]]] = True
     seen = np.array([digest(score[of == d]) for d in range(len(texts))])
-    return Model(kernel, root @ w[:-1], float(w[-1]), fit_logistic(seen, labels))
+    return Model(kernel, root @ w[:-1], float(w[-1]), fit_logistic(seen, labels), spelled)
 
 
 class Scorer:
     def __init__(self, model: Model):
-        self.model, self.memo = model, {}
+        self.model, self.memo, self.starts = model, {}, beginnings(model.spelled)
 
     def __call__(self, texts: list[str]) -> list[float]:
         m, memo = self.model, self.memo
@@ -202,7 +250,7 @@ class Scorer:
             return [0.0] * len(texts)
         if len(memo) > MEMO:
             memo.clear()
-        split = [sentences(t) for t in texts]
+        split = [sentences(t, m.spelled, self.starts) for t in texts]
         new = list({w for t in split for s in t for w in s if w not in memo})
         memo.update(zip(new, (m.kernel(new) @ m.beta).tolist(), strict=True))
         seen = np.array([digest(np.array([m.bias + sum(map(memo.__getitem__, s)) for s in t])) for t in split]).reshape(len(texts), 4)

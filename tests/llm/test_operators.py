@@ -261,6 +261,23 @@ def test_toxicity(spark, docs, empty):
     assert score_texts(empty, train([])).count() == 0
 
 
+def test_toxicity_of_cut_up_words(spark):
+    rnd = random.Random(4)
+    calm = "the river runs past a mill and children read books near old trees in summer".split()
+    rows = []
+    for i in range(240):
+        words = rnd.choices(calm, k=25)
+        if i % 3 == 0:
+            words[rnd.randrange(25)] = rnd.choice(["idiot", "moron", "scumbag"])
+        rows.append((" ".join(words[:12]) + ". " + " ".join(words[12:]), int(i % 3 == 0)))
+    cut = ["idi-ot", "mo.ron", "mo ron", "i*d*i*o*t", "i__d__i__o__t", "i.d.i.o.t", "i d i o t", "i. d. i. o. t", "m***o***r***o***n", "s c u m b a g", "i\u200bd\u200bi\u200bo\u200bt"]
+    clean = ["mill", "old", "u.s.a.", "e.g.", "a b c", "well-read", "mor", "past/near"]
+    texts = [f"The river runs past {w} in summer. Children read." for w in cut + clean]
+    found = {r.doc_id: r.score for r in score_texts(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), train(rows)).collect()}
+    assert [w for i, w in enumerate(cut) if found[i] < 0.7] == []
+    assert [w for i, w in enumerate(clean, len(cut)) if found[i] >= 0.7] == []
+
+
 def repeats(length):
     texts = [t.encode().split() for t in TEXTS]
     n = collections.Counter(tuple(w[a : a + length]) for w in texts for a in range(len(w) - length + 1))
