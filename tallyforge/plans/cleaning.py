@@ -15,7 +15,7 @@ NUMBER_SQL = r"'^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$'"
 
 def raw_events(t: Tables) -> DataFrame:
     k = F.col("event_id")
-    raw = F.when(k % 6 == 0, "").when(k % 6 == 1, F.round("value", 2).cast("string")).when(k % 6 == 2, F.concat((k % 50).cast("string"), F.lit(".0"))).when(k % 6 == 3, "nan").when(k % 6 == 4, "1d").otherwise(F.concat(F.lit("-"), (k % 90).cast("string"), F.lit(".5")))
+    raw = F.when(k % 6 == 0, "").when(k % 6 == 1, F.col("value").cast("string")).when(k % 6 == 2, F.concat((k % 50).cast("string"), F.lit(".0"))).when(k % 6 == 3, "nan").when(k % 6 == 4, "1d").otherwise(F.concat(F.lit("-"), (k % 90).cast("string"), F.lit(".5")))
     return t("events").select("event_id", raw.alias("raw"))
 
 
@@ -24,10 +24,22 @@ def raw_events(t: Tables) -> DataFrame:
     SELECT kind, count(*) AS rows, sum(ok)::BIGINT AS parsed, sum(whole)::BIGINT AS whole_sum FROM p WHERE kind <> 1 GROUP BY 1"""
 )
 def safe_parsing(t: Tables) -> DataFrame:
+    """Made-up texts only, as its SQL has it; ``safe_parsing_whole`` takes every event."""
     rows = raw_events(t).where("event_id % 6 <> 1").withColumn("kind", F.col("event_id") % 6)
     return rows.groupBy("kind").agg(F.count("*").alias("rows"), F.count(P.safe_float(F.col("raw"))).alias("parsed"), F.sum(P.safe_integral(F.col("raw"))).alias("whole_sum"))
 
 
+@query(
+    f"""WITH {RAW_SQL}, p AS (SELECT event_id % 6 AS kind, CASE WHEN regexp_matches(raw, {NUMBER_SQL}) THEN raw::DOUBLE END AS number FROM r)
+    SELECT kind, count(*) AS rows, count(number) AS parsed, round(sum(number), 4) AS total, sum(CASE WHEN number = floor(number) THEN number::BIGINT END)::BIGINT AS whole_sum FROM p GROUP BY 1"""
+)
+def safe_parsing_whole(t: Tables) -> DataFrame:
+    """Every event, also those whose text is its own value, and those without an id."""
+    number = P.safe_float(F.col("raw"))
+    rows = raw_events(t).withColumn("kind", F.col("event_id") % 6)
+    return rows.groupBy("kind").agg(F.count("*").alias("rows"), F.count(number).alias("parsed"), F.round(F.sum(number), 4).alias("total"), F.sum(P.safe_integral(F.col("raw"))).alias("whole_sum"))
+
+
 @query(
     """SELECT CASE WHEN event_id % 13 = 0 THEN 'blank' WHEN value < 5 THEN 'too_low' WHEN value > 90 THEN 'too_high' WHEN event_type NOT IN ('click', 'view', 'purchase') THEN 'other_type' ELSE 'accepted' END AS reason,
     count(*) AS rows FROM events GROUP BY 1"""
