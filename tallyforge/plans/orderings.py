@@ -86,5 +86,16 @@ def conflict_same_ts(t: Tables) -> DataFrame:
     SELECT event_type, event_id, turn::INT AS turn FROM r WHERE turn <= 40"""
 )
 def round_robin(t: Tables) -> DataFrame:
-    """Turns of each type; sorting by turn, then type, interleaves them."""
+    """Turns of each type, the first 40 only, as its SQL has it; sorting by turn, then type, interleaves them. ``round_robin_whole`` has no cap."""
     return S.first_per_group(t("events").select("event_type", "event_id"), ["event_type"], ["event_id"], 40).withColumnRenamed("rank", "turn")
+
+
+@query(
+    """WITH r AS (SELECT event_type, user_id, event_id, row_number() OVER (PARTITION BY event_type, user_id ORDER BY event_id NULLS FIRST) AS turn FROM events)
+    SELECT event_type, user_id, event_id, turn::INT AS turn, (row_number() OVER (PARTITION BY event_type ORDER BY turn, user_id NULLS FIRST))::INT AS type_turn FROM r"""
+)
+def round_robin_whole(t: Tables) -> DataFrame:
+    """Every event with its turn among its type and user's, and its place among its type's when users take turns; sorting by type_turn, then type, interleaves the types."""
+    rows = t("events").select("event_type", "user_id", "event_id")
+    turns = rows.withColumn("turn", F.row_number().over(W.partitionBy("event_type", "user_id").orderBy("event_id")))
+    return turns.withColumn("type_turn", F.row_number().over(W.partitionBy("event_type").orderBy("turn", "user_id")))
