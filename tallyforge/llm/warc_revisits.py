@@ -28,7 +28,7 @@ CANONICAL = (
     ("#.*$", ""),
     ("^[A-Za-z][A-Za-z0-9+.-]*://", ""),
     ("^([^/?]*):(80|443)(/|[?]|$)", "$1$3"),
-    ("(utm_[a-z]+|ref)=[^&]*&?", ""),
+    ("(?<=[?&])(utm_[a-z]+|ref)=[^&]*&?", ""),
     ("[?&]+$", ""),
     ("/+$", ""),
     ("^www[.]", ""),

@@ -237,6 +237,12 @@ def test_warc_revisits(spark):
     same(spark.createDataFrame([("HTTP://WWW.Ex.org:80/A/?ref=1&b=2#z",)], "u string").select(canonical(F.col("u"))), ["*"], [("ex.org/A/?b=2",)])
 
 
+def test_canonical_keeps_names_that_end_like_tracking_parameters(spark):
+    urls = ["http://a.example/?xref=1", "http://a.example/?xref=2", "http://a.example/?b=1&pageref=2", "http://a.example/?utm_source=q&utm_medium=r&xref=1&ref=3"]
+    found = spark.createDataFrame([(u,) for u in urls], "u string").select(canonical(F.col("u")))
+    same(found, ["*"], [("a.example/?xref=1",), ("a.example/?xref=2",), ("a.example/?b=1&pageref=2",), ("a.example/?xref=1",)])
+
+
 def test_toxicity(spark, docs, empty):
     rnd = random.Random(3)
     calm = "the river runs past a mill and children read books near old trees in summer".split()
