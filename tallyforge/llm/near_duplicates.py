@@ -1,11 +1,11 @@
-"""N-gram Jaccard join by a MinHash LSH forest and exact verification.
+"""N-gram Jaccard join by MinHash banding and exact verification.
 
 A text is the set of its five-word shingles (a shorter one is a single shingle of all its
 words). Texts with equal sets are one *class*: its first row stands for it, its size is a
-weight, and copies are never expanded into pairs. Every class has ``trees`` signatures; a tree
-sorts the classes by signature prefix, and classes that share a prefix meet. Prefixes start at
-``deepest`` values and are shortened until two sets at the threshold meet in some tree with at
-least the target recall.
+weight, and copies are never expanded into pairs. Every class has ``trees`` signatures, each
+hashed to one prefix, and classes that share a prefix meet. The prefix length is fixed before any
+data: the longest, ``deepest`` values at most, at which two sets at the threshold meet in some
+tree with at least the target recall. Nothing is sorted or shortened by what is met.
 
 Meeting is recorded as one edge from each member of a prefix to the prefix's first member,
 so it grows with the members and not with their pairs. All pairs inside a component of these
