@@ -15,15 +15,17 @@ from pyspark.sql import functions as F
 from tallyforge.session import ship
 
 #: Bytes of text that one Arrow batch may carry to a Python worker.
-BATCH_BYTES = 8 * 1024 * 1024
+BATCH_BYTES = 4 * 1024 * 1024
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; a fresh local one only where that is unset."""
+    """The folder of ``spark.checkpoint.dir``; in local mode a fresh one where that is unset, on a cluster an error."""
     where = spark.conf.get("spark.checkpoint.dir", None)
     if not where:
         where = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not where:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         where = "file://" + tempfile.mkdtemp(prefix="tallyforge-")
         spark.sparkContext.setCheckpointDir(where)
         spark.conf.set("spark.checkpoint.dir", where)
@@ -52,7 +54,8 @@ def tune(spark: SparkSession) -> None:
     """Bound Arrow batches by bytes, and free a finished query's shuffle files at once.
 
     Both matter for long texts: a batch of 10,000 long documents would not fit a worker, and
-    shuffle files of a phase whose result is already written only fill disks.
+    shuffle files of a phase whose result is already written only fill disks. The settings stay
+    in the session, for the operators' results are computed only when the caller asks for them.
     """
     ship(spark)
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))

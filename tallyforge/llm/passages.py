@@ -19,8 +19,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Window starts that are worked on at once; the arrays of a block hold a few words more.
-BLOCK = 1 << 20
-MEMO = 300_000
+BLOCK = 1 << 18
+MEMO = 100_000
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)

@@ -20,7 +20,8 @@ Training takes at most ``per_class`` toxic and twice as many clean labelled text
 characters (parameters), chosen by a hash of their id; scoring reads every text whole.
 
 Defined results: null and empty texts score as a text without sentences; if the training rows
-lack a class, the score is 0; a label that is null is not used; repeated rows score alike.
+lack a class or any word, the score is 0; a label that is null is not used; of several labels of one
+id the least counts; repeated rows score alike; an empty table has no scores; extra columns are not read.
 """
 
 from __future__ import annotations
@@ -28,6 +29,7 @@ from __future__ import annotations
 import re
 import sys
 import unicodedata
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -37,7 +39,7 @@ from pyspark.sql import functions as F
 
 from tallyforge.llm.common import pick, tune
 
-MEMO = 200_000
+MEMO = 100_000
 BITS = 20
 DECAY = 0.6
 SHARPEN = 2
@@ -45,8 +47,11 @@ SHARPEN = 2
 COST = 100_000.0
 #: Training sentences whose words are held at once.
 SENTENCES = 2000
+#: Characters of texts that are split into words at once, and of words whose kernel values are held at once.
+TEXT_CHARS, WORD_CHARS = 1 << 18, 1 << 14
 #: Places of a subsequence's characters from its first one on: all choices within six.
-PLACES = [(0, a, b, c) for a in range(1, 4) for b in range(a + 1, 5) for c in range(b + 1, 6)]
+SPAN = 6
+PLACES = [(0, a, b, c) for a in range(1, SPAN - 2) for b in range(a + 1, SPAN - 1) for c in range(b + 1, SPAN)]
 SENTENCE = re.compile(r"(?<!\b\w)[.!?]+(?=\s|$)|\n+")
 #: Single letters joined at most.
 JOINED = 12
@@ -92,56 +97,86 @@ def sentences(text: str, spelled: frozenset[str] = frozenset(), starts: frozense
     return [w for s in SENTENCE.split(text.lower()) if (w := parts_and_wholes(s, spelled, starts))]
 
 
-def subsequences(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(word, hashed subsequence, weight) of every occurrence, in no order."""
-    joined = "".join(f"\x02{w}\x03" for w in words)
-    codes = np.frombuffer(joined.encode("utf-32-le"), np.uint32).astype(np.uint64)
-    sizes = np.fromiter(map(len, words), np.int64, len(words)) + 2
-    owner = np.repeat(np.arange(len(words)), sizes)
+def pieces(words: list[str]) -> Iterator[tuple[list[str], list[int], np.ndarray]]:
+    """(words with their end signs, how many characters may begin a subsequence in each, owners), in bounded lots.
+
+    A word longer than a lot is cut into pieces that overlap by a span less one, so that every
+    subsequence begins in one piece alone.
+    """
+    part, begin, of, held = [], [], [], 0
+    for i, w in enumerate(words):
+        w = f"\x02{w}\x03"
+        for lo in range(0, len(w), WORD_CHARS):
+            part.append(w[lo : lo + WORD_CHARS + SPAN - 1])
+            begin.append(WORD_CHARS)
+            of.append(i)
+            held += len(part[-1])
+            if held > 2 * WORD_CHARS:
+                yield part, begin, np.array(of)
+                part, begin, of, held = [], [], [], 0
+    if part:
+        yield part, begin, np.array(of)
+
+
+def subsequences(parts: list[str], begin: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(part, hashed subsequence, weight) of every occurrence that begins in the first ``begin`` characters, in no order."""
+    codes = np.frombuffer("".join(parts).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    sizes = np.fromiter(map(len, parts), np.int64, len(parts))
+    owner = np.repeat(np.arange(len(parts)), sizes)
     stop = np.cumsum(sizes)[owner]
-    parts = []
+    inside = np.arange(len(codes)) < (np.cumsum(sizes) - sizes + np.array(begin, np.int64))[owner]
+    found = []
     for place in PLACES:
-        at = np.flatnonzero(np.arange(len(codes)) + place[3] < stop)
+        at = np.flatnonzero(inside & (np.arange(len(codes)) + place[3] < stop))
         key = np.zeros(len(at), np.uint64)
         for p in place:
             key = (key + codes[at + p] + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
             key ^= key >> np.uint64(31)
-        parts.append((owner[at], (key >> np.uint64(64 - BITS)).astype(np.int64), np.full(len(at), DECAY ** (place[3] - 3), np.float32)))
-    return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
+        found.append((owner[at], (key >> np.uint64(64 - BITS)).astype(np.int64), np.full(len(at), DECAY ** (place[3] - 3), np.float32)))
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
 class Kernel:
     """The scaled kernel, to the power SHARPEN, between words and a fixed list of landmarks."""
 
     def __init__(self, landmarks: list[str]):
-        owner, feature, weight = subsequences(landmarks)
+        lots = [(of[o], f, w) for parts, begin, of in pieces(landmarks) for o, f, w in [subsequences(parts, begin)]]
+        owner, feature, weight = (np.concatenate(x) for x in zip(*lots, strict=True))
         features, self.row = np.unique(feature), np.full(1 << BITS, -1, np.int32)
         self.row[features] = np.arange(len(features))
         self.table = np.zeros((len(features), len(landmarks)), np.float32)
         np.add.at(self.table, (self.row[feature], owner), weight)
-        self.table /= self._size(owner, weight, len(landmarks))
-
-    @staticmethod
-    def _size(owner: np.ndarray, weight: np.ndarray, n: int) -> np.ndarray:
-        return np.sqrt(np.bincount(owner, weight.astype(float) ** 2, n) + 1e-9)
+        self.table /= np.sqrt(np.bincount(owner, weight.astype(float) ** 2, len(landmarks)) + 1e-9)
 
     def __call__(self, words: list[str]) -> np.ndarray:
         out = np.zeros((len(words), self.table.shape[1]), np.float32)
-        for lo in range(0, len(words), 4000):
-            part = words[lo : lo + 4000]
-            owner, feature, weight = subsequences(part)
-            size = self._size(owner, weight, len(part))
+        size = np.zeros(len(words))
+        for parts, begin, of in pieces(words):
+            owner, feature, weight = subsequences(parts, begin)
+            owner = of[owner]
+            size += np.bincount(owner, weight.astype(float) ** 2, len(words))
             row = self.row[feature]
             met = row >= 0
             order = np.argsort(owner[met], kind="stable")
             owner, row, weight = owner[met][order], row[met][order], weight[met][order]
-            for a in range(0, len(owner), 20_000):  # bounds the gathered rows, also for a very long word
+            for a in range(0, len(owner), 20_000):  # bounds the gathered rows
                 o, r, w = owner[a : a + 20_000], row[a : a + 20_000], weight[a : a + 20_000]
                 first = np.flatnonzero(np.r_[True, o[1:] != o[:-1]])
-                out[lo + o[first]] += np.add.reduceat(self.table[r] * w[:, None], first, axis=0)
-            out[lo : lo + len(part)] /= size[:, None]
+                out[o[first]] += np.add.reduceat(self.table[r] * w[:, None], first, axis=0)
+        out /= np.sqrt(size + 1e-9)[:, None]
         return out**SHARPEN
 
+    def weigh(self, words: list[str], beta: np.ndarray) -> list[float]:
+        """One number a word, its kernel values times ``beta``; few words' values are held at once."""
+        out, part, held = [], [], 0
+        for w in words:
+            part.append(w)
+            held += len(w) + 2
+            if held > WORD_CHARS:
+                out += (self(part) @ beta).tolist()
+                part, held = [], 0
+        return out + ((self(part) @ beta).tolist() if part else [])
+
 
 def fit_svm(x: np.ndarray, y: np.ndarray, cost: np.ndarray, ridge: float = 1.0) -> np.ndarray:
     """Weights and, last, the bias of a linear SVM with squared hinge loss, by Newton steps on the active rows."""
@@ -197,12 +232,12 @@ def train(rows: list[tuple[str, int]], *, landmarks: int = 160) -> Model:
     known: dict[str, str] = {}
     texts = [[[known.setdefault(w, w) for w in s] for s in sentences(t or "")] for t, _ in rows]
     labels = np.array([y for _, y in rows])
-    if len(set(labels.tolist())) < 2:
-        return Model(None, np.zeros(0), 0.0, np.zeros(5))
     met: dict[str, list[int]] = {}
     for split, y in zip(texts, labels, strict=True):
         for w in {w for s in split for w in s if len(w) < 40}:
             met.setdefault(w, [0, 0])[int(y)] += 1
+    if not met or len(set(labels.tolist())) < 2:
+        return Model(None, np.zeros(0), 0.0, np.zeros(5))
     n = np.bincount(labels, minlength=2)
     words = sorted(met)
     clean, toxic = (np.array([met[w][c] for w in words], float) for c in (0, 1))
@@ -245,14 +280,24 @@ class Scorer:
         self.model, self.memo, self.starts = model, {}, beginnings(model.spelled)
 
     def __call__(self, texts: list[str]) -> list[float]:
-        m, memo = self.model, self.memo
-        if m.kernel is None:
+        if self.model.kernel is None:
             return [0.0] * len(texts)
+        out, part, held = [], [], 0
+        for t in texts:  # a lot's words are held as Python strings, ten times a batch's size
+            part.append(t)
+            held += len(t)
+            if held > TEXT_CHARS:
+                out += self._lot(part)
+                part, held = [], 0
+        return out + self._lot(part)
+
+    def _lot(self, texts: list[str]) -> list[float]:
+        m, memo = self.model, self.memo
         if len(memo) > MEMO:
             memo.clear()
         split = [sentences(t, m.spelled, self.starts) for t in texts]
         new = list({w for t in split for s in t for w in s if w not in memo})
-        memo.update(zip(new, (m.kernel(new) @ m.beta).tolist(), strict=True))
+        memo.update(zip(new, m.kernel.weigh(new, m.beta), strict=True))
         seen = np.array([digest(np.array([m.bias + sum(map(memo.__getitem__, s)) for s in t])) for t in split]).reshape(len(texts), 4)
         return (1 / (1 + np.exp(-np.clip(seen @ m.scale[:-1] + m.scale[-1], -30, 30)))).tolist()
 
