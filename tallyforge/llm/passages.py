@@ -77,7 +77,7 @@ def lowest(values: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def regions(words: np.ndarray, ends: np.ndarray, length: int, k: int):
-    """(start, count, gram hash, region hash) of every region, block by block.
+    """(start, count, place of the gram, gram hash, region hash) of every region, block by block.
 
     words: hashes of the words of some texts, end to end; ends: for each word, its text's end.
     """
@@ -93,7 +93,7 @@ def regions(words: np.ndarray, ends: np.ndarray, length: int, k: int):
         count = np.diff(np.r_[first, len(starts)])
         start, stop = starts[first], starts[first + count - 1]
         region = mixed(mixed(whole[start] * _A + whole[stop]) + count.astype(np.uint64) * _B + (place[first] - start).astype(np.uint64))
-        yield start + lo, count, value[first].view(np.int64), region.view(np.int64)
+        yield start + lo, count, place[first] + lo, value[first].view(np.int64), region.view(np.int64)
 
 
 def flat(texts: list[str], memo: WordHashes) -> tuple[np.ndarray, np.ndarray]:
@@ -109,7 +109,7 @@ def numbered(docs: DataFrame, columns: dict[str, str]) -> DataFrame:
 
 
 def find_regions(rows: DataFrame, length: int, k: int) -> DataFrame:
-    """rid, start, count, gram, region of every region of (rid, text) rows; one pass, no shuffle."""
+    """rid, start, count, place, gram, region of every region of (rid, text) rows; one pass, no shuffle."""
 
     def run(batches):
         memo = WordHashes()
@@ -118,14 +118,12 @@ def find_regions(rows: DataFrame, length: int, k: int) -> DataFrame:
             words, sizes = flat(b.column(1).to_pylist(), memo)
             ends = np.cumsum(sizes)
             owner = np.repeat(np.arange(len(sizes)), sizes)
-            for start, count, gram, region in regions(words, ends[owner], length, k):
+            for start, count, place, gram, region in regions(words, ends[owner], length, k):
                 doc = owner[start]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(rid[doc]), pa.array((start - (ends - sizes)[doc]).astype(np.int32)), pa.array(count.astype(np.int32)), pa.array(gram), pa.array(region)],
-                    ["rid", "start", "count", "gram", "region"],
-                )
+                at, place = (pa.array((x - (ends - sizes)[doc]).astype(np.int32)) for x in (start, place))
+                yield pa.RecordBatch.from_arrays([pa.array(rid[doc]), at, pa.array(count.astype(np.int32)), place, pa.array(gram), pa.array(region)], ["rid", "start", "count", "place", "gram", "region"])
 
-    return rows.select("rid", "text").mapInArrow(run, "rid long, start int, count int, gram long, region long")
+    return rows.select("rid", "text").mapInArrow(run, "rid long, start int, count int, place int, gram long, region long")
 
 
 def spread_windows(rows: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
