@@ -50,6 +50,22 @@ class Scratch:
         path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+#: Keys that a join treats apart are at most so many, as each of them holds more than such a share of the rows.
+HOT_SHARE = 1024
+
+
+def meet(left: DataFrame, right: DataFrame, keys: list[str], count: str, total: int) -> DataFrame:
+    """Inner join with a ``right`` of one row a key, whose column ``count`` says how many of ``left``'s ``total`` rows have it.
+
+    Keys that hold more than a ``HOT_SHARE``-th of the rows are at most ``HOT_SHARE`` in number: these meet their rows
+    in a broadcast join wherever the rows are, and only the others are dealt out by key.
+    """
+    hot = F.col(count) > max(200, total // HOT_SHARE)
+    few = right.where(hot)
+    rest = left.join(F.broadcast(few.select(*keys)), keys, "left_anti").join(right.where(~hot), keys)
+    return left.join(F.broadcast(few), keys).unionByName(rest)
+
+
 def tune(spark: SparkSession) -> None:
     """Bound Arrow batches by bytes, and free a finished query's shuffle files at once.
 
