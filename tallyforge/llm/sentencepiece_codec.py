@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from tallyforge.llm.common import pick, tune
 
-MEMO = 200_000
+MEMO = 100_000
 MARK = "▁"
 
 
