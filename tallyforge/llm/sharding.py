@@ -2,12 +2,14 @@
 
 A document's key is 32 bits of the MD5 of its id and text, then 16 bits that differ between
 repeated rows, so that even copies of one row can be dealt apart. Bucket sizes are summed at a
-first directory depth (partial aggregation, a few entries per shard), the smallest prefix that
-fits the limit becomes a shard, and only the buckets that are too large at that depth go on to
-deeper bits in the next round. Texts are never shuffled: rows carry id, key and size.
+first directory depth (partial aggregation, a few entries per shard) and rolled up to the
+shorter prefixes. A prefix that fits the limit, and whose parent does not, becomes a shard and
+takes all directory entries under it; only the buckets that are too large at that depth go on
+to deeper bits in the next round. Texts are never shuffled: rows carry id, key and size.
 
 Defined results: a null text has 0 bytes; a bucket of one row is a shard even if the row is
-larger than the limit (``fits`` is then false); an empty table has no shards.
+larger than the limit (``fits`` is then false); repeated rows are dealt like others; an empty
+table has no shards; columns other than the id and the text are not read.
 """
 
 from __future__ import annotations
@@ -22,6 +24,8 @@ from tallyforge.llm.common import Scratch, pick, tune
 KEY_BITS = 48
 #: Bits by which a round's directory is deeper than the limit asks for on average.
 FINER = 5
+#: A directory of so many entries (24 bytes each) at most is broadcast.
+BROADCAST_ENTRIES = 1 << 20
 
 
 def prefix(key: Column, depth: int | Column) -> Column:
@@ -35,13 +39,18 @@ def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return base.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), (content * (1 << 16) + row).alias("key"))
 
 
-def assign_shards(docs: DataFrame, *, limit: int = 16 << 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_bytes, shard (its prefix bits), depth, fits of every document."""
+#: A limit that is not given is this share of the table's bytes, or ``LEAST_LIMIT``.
+SHARDS, LEAST_LIMIT = 256, 64 << 10
+
+
+def assign_shards(docs: DataFrame, *, limit: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, n_bytes, shard (its prefix bits), depth, fits of every document; ``limit`` is in bytes."""
     spark = docs.sparkSession
     tune(spark)
     scratch = Scratch(spark, "sharding")
     rows = scratch.keep(keyed(docs, id_col, text_col), "rows")
     total = rows.agg(F.sum("n_bytes")).first()[0] or 0
+    limit = limit or max(LEAST_LIMIT, -(-total // SHARDS))
     depth = min(KEY_BITS, max(0, math.ceil(math.log2(max(1, total / limit)))) + FINER)
     above, out, left, number = 0, None, rows, 0
     while True:
@@ -49,21 +58,28 @@ def assign_shards(docs: DataFrame, *, limit: int = 16 << 20, id_col: str = "doc_
         buckets = left.groupBy(prefix(F.col("key"), depth).alias("bucket")).agg(F.sum("n_bytes").alias("b"), F.count("*").alias("n"))
         each = buckets.withColumn("at", F.explode(F.sequence(F.lit(above), F.lit(depth)))).withColumn("p", F.call_function("shiftright", F.col("bucket"), (F.lit(depth) - F.col("at")).cast("int")))
         sums = each.groupBy("at", "p").agg(F.sum("b").alias("sb"), F.sum("n").alias("sn"))
-        fit = sums.where((F.col("sb") <= limit) | (F.col("sn") == 1) | (F.col("at") == KEY_BITS))
-        leaf = each.join(fit, ["at", "p"]).groupBy("bucket").agg(F.min(F.struct("at", "p", "sb")).alias("leaf"))
-        directory = scratch.keep(buckets.select("bucket").join(leaf, "bucket", "left").select("bucket", F.col("leaf.at").alias("depth"), F.col("leaf.p").alias("p"), (F.col("leaf.sb") <= limit).alias("fits")), f"directory-{number}")
-        met = left.withColumn("bucket", prefix(F.col("key"), depth)).join(directory, "bucket")
+        fit = sums.withColumn("fit", (F.col("sb") <= limit) | (F.col("sn") == 1) | (F.col("at") == KEY_BITS))
+        parent = fit.select((F.col("at") + 1).alias("at"), F.col("p").alias("parent"), F.col("fit").alias("above"))
+        leaf = fit.where("fit").withColumn("parent", F.expr("shiftright(p, 1)")).join(parent, ["at", "parent"], "left").where("not coalesce(above, false)")
+        width = F.expr(f"shiftleft(1L, cast({depth} - at as int))")
+        directory = leaf.select(F.explode(F.sequence(F.col("p") * width, (F.col("p") + 1) * width - 1)).alias("bucket"), F.col("at").alias("depth"), "p", (F.col("sb") <= limit).alias("fits"))
+        open_ended = fit.where((F.col("at") == depth) & ~F.col("fit"))
+        directory = directory.unionByName(open_ended.select(F.col("p").alias("bucket"), F.lit(None).cast("int").alias("depth"), F.lit(None).cast("long").alias("p"), F.lit(None).cast("boolean").alias("fits")))
+        directory = scratch.keep(directory, f"directory-{number}")
+        entries, undecided = directory.agg(F.count("*"), F.count_if(F.col("depth").isNull())).first()
+        known = F.broadcast(directory) if entries <= BROADCAST_ENTRIES else directory
+        met = left.withColumn("bucket", prefix(F.col("key"), depth)).join(known, "bucket")
         bits = F.when(F.col("depth") == 0, F.lit("")).otherwise(F.lpad(F.bin(F.col("p")), F.col("depth"), F.lit("0")))
         done = met.where("depth is not null").select("doc_id", "n_bytes", bits.alias("shard"), F.col("depth").cast("int").alias("depth"), "fits")
         out = done if out is None else out.unionByName(done)
-        if depth == KEY_BITS or directory.where("depth is null").isEmpty():
+        if depth == KEY_BITS or not undecided:
             return out
         left = met.where("depth is null").select("doc_id", "n_bytes", "key")
         above, depth = depth + 1, min(KEY_BITS, depth + 8)
 
 
 def write_shards(docs: DataFrame, shards: DataFrame, path: str, *, id_col: str = "doc_id") -> None:
-    """The documents as Parquet, one folder a shard; ids must be unique."""
+    """The documents as Parquet, one folder a shard; ids must be unique and not null (others are left out)."""
     docs.join(shards.select(F.col("doc_id").alias(id_col), "shard"), id_col).repartition("shard").write.partitionBy("shard").parquet(path)
 
 
@@ -72,12 +88,13 @@ WITH d AS (
   SELECT doc_id, coalesce(strlen(text), 0)::BIGINT AS n_bytes,
          ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || '|' || coalesce(text, '')), 1, 8))::BIGINT AS k
   FROM documents),
+most AS (SELECT greatest({LEAST_LIMIT}, (sum(n_bytes) + {SHARDS - 1}) // {SHARDS}) AS bytes FROM d),
 e AS (SELECT doc_id, n_bytes, k, depth, k >> (32 - depth) AS p FROM d, range(0, 33) AS r(depth)),
 s AS (SELECT depth, p, sum(n_bytes)::BIGINT AS b, count(*) AS n FROM e GROUP BY ALL),
-f AS (SELECT e.doc_id, e.n_bytes, e.k, min(e.depth) AS depth FROM e JOIN s USING (depth, p)
-      WHERE s.b <= {16 << 20} OR s.n = 1 GROUP BY e.doc_id, e.n_bytes, e.k)
+f AS (SELECT e.doc_id, e.n_bytes, e.k, min(e.depth) AS depth FROM e JOIN s USING (depth, p), most
+      WHERE s.b <= most.bytes OR s.n = 1 GROUP BY e.doc_id, e.n_bytes, e.k)
 SELECT f.doc_id, f.n_bytes,
        CASE WHEN f.depth = 0 THEN '' ELSE lpad(bin(f.k >> (32 - f.depth)), f.depth::INT, '0') END AS shard,
-       f.depth::INT AS depth, s.b <= {16 << 20} AS fits
-FROM f JOIN s ON s.depth = f.depth AND s.p = f.k >> (32 - f.depth)
+       f.depth::INT AS depth, s.b <= most.bytes AS fits
+FROM f JOIN s ON s.depth = f.depth AND s.p = f.k >> (32 - f.depth), most
 """
