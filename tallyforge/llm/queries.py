@@ -17,6 +17,7 @@ from tallyforge.llm.substring_dedup import drop_repeats
 from tallyforge.llm.suffix_dedup import mark_repeats
 from tallyforge.llm.token_counts import count_tokens
 from tallyforge.llm.toxicity import toxicity
+from tallyforge.llm.warc_revisits import ORACLE as REVISITS_SQL
 from tallyforge.llm.warc_revisits import captures_of_pages, resolve_revisits
 
 
@@ -129,6 +130,7 @@ ORACLES: dict[str, str] = {
     "op2_benchmark_decontamination": LEAKS_SQL,
     "op3_sharding": SHARDING_SQL,
     "op5_quality_rules": QUALITY_SQL,
+    "op7_warc_revisits": REVISITS_SQL,
     "op9_substring_dedup": WINDOWS_SQL.format(length=35) + REPEATS_SQL,
     "op10_suffix_array_dedup": WINDOWS_SQL.format(length=50) + REPEATS_SQL,
 }

@@ -12,14 +12,14 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from tallyforge.llm.common import Scratch
+from tallyforge.llm.common import Scratch, meet
 from tallyforge.llm.components import connected
 from tallyforge.llm.decontamination import find_leaks
-from tallyforge.llm.near_duplicates import near_duplicates, prefix_depth
+from tallyforge.llm.near_duplicates import forest, measured_recall, meeting, near_duplicates
 from tallyforge.llm.quality import POLICIES, SYMBOLS, ablation, judge, ledger
 from tallyforge.llm.queries import tokenizer_file
 from tallyforge.llm.sentencepiece_codec import Codec, Pieces, code_texts, decode_ids, encode_texts
-from tallyforge.llm.sharding import assign_shards
+from tallyforge.llm.sharding import assign_shards, write_shards
 from tallyforge.llm.substring_dedup import drop_repeats
 from tallyforge.llm.suffix_dedup import mark_repeats
 from tallyforge.llm.token_counts import count_tokens
@@ -122,6 +122,16 @@ def test_sharding(docs, empty):
     assert assign_shards(empty).count() == 0
 
 
+def test_shards_are_written_whole(spark, tmp_path):
+    docs = spark.createDataFrame([(i, f"text {i} " * (i % 50)) for i in range(400)] + [(400, None)], "doc_id long, text string")
+    shards = assign_shards(docs, limit=3000)
+    assert shards.select("depth").distinct().count() > 1
+    write_shards(docs, shards, f"file://{tmp_path}/out")
+    back = spark.read.schema("doc_id long, text string, shard string").parquet(f"file://{tmp_path}/out")
+    same(back, ["doc_id", "text"], docs.collect())
+    assert back.groupBy("shard").agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("b")).where("b > 3000").count() == 0
+
+
 def test_near_duplicates(docs, empty):
     sets = []
     for t in TEXTS:
@@ -150,13 +160,56 @@ def test_near_duplicates(docs, empty):
     same(found, ["doc_id", "group_id", "n_links", "group_size"], expected)
     assert found.where("first").count() == len(groups)
     assert near_duplicates(empty).count() == 0
-    assert prefix_depth(0.8, 24, 10, 0.999) == 6
+
+
+def test_measured_recall():
+    assert measured_recall({}, 0.8, 6, 24) == pytest.approx(meeting(0.8, 6, 24)) == pytest.approx(1 - (1 - 0.8**6) ** 24)
+    high, low = ({b: 100_000} for b in (15, 0))
+    assert measured_recall(high, 0.8, 10, 24) > 0.9999 > measured_recall(low, 0.8, 6, 24) > measured_recall(low, 0.8, 7, 24)
+
+
+def test_forest_edges_hold_the_trie(spark):
+    """Edges of level d or more connect exactly the rows that share d values in a tree, over partition borders too."""
+    rnd = random.Random(3)
+    rows = [(i, [bytes(x for _ in range(4) for x in (0, rnd.choice((1, 1, 1, 2)))) for _ in range(2)]) for i in range(300)]
+    found = forest(spark.createDataFrame(rows, "rid long, signature array<binary>").repartition(5), 4, 1, Scratch(spark, "test")).collect()
+    for depth in (1, 2, 3, 4):
+        root = list(range(300))
+
+        def find(x, root=root):
+            while root[x] != x:
+                x = root[x]
+            return x
+
+        for tree in (0, 1):  # by the definition
+            first = {}
+            for i, signature in rows:
+                root[find(i)] = find(first.setdefault(signature[tree][: 2 * depth], i))
+        expected = {frozenset(x for x in range(300) if find(x) == r) for r in range(300) if find(r) == r}
+        root[:] = range(300)
+        for e in found:
+            if e.level >= depth:
+                root[find(e.u)] = find(e.v)
+        assert {frozenset(x for x in range(300) if find(x) == r) for r in range(300) if find(r) == r} == expected
 
 
 def test_components(spark):
-    edges = [(2, 1), (3, 2), (4, 3), (9, 8), (7, 7), (20, 9), (3, 1)]
+    edges = [(2, 1), (3, 2), (4, 3), (9, 8), (7, 7), (20, 9), (3, 1), (None, 1), (5, None), (3, 1)]
     found = connected(spark.createDataFrame(edges, "u long, v long"), Scratch(spark, "test"), "c")
     same(found, ["node", "root"], [(1, 1), (2, 1), (3, 1), (4, 1), (8, 8), (9, 8), (20, 8)])
+    assert connected(spark.createDataFrame([], "u long, v long"), Scratch(spark, "test"), "c").count() == 0
+
+
+def test_components_with_a_hub(spark):
+    edges = [(1000, i) for i in range(1500) if i != 1000] + [(5000, 5001)]
+    found = connected(spark.createDataFrame(edges, "u long, v long").repartition(3), Scratch(spark, "test"), "c")
+    same(found, ["node", "root"], [(i, 0) for i in range(1500)] + [(5000, 5000), (5001, 5000)])
+
+
+def test_meet_parts_the_hot_keys(spark):
+    left = spark.createDataFrame([(1, i) for i in range(900)] + [(k, k) for k in range(2, 60)], "k long, i long")
+    right = left.groupBy("k").agg(F.count("*").alias("n"), F.sum("i").alias("s")).where("k < 50")
+    same(meet(left, right, ["k"], "n", 958), ["k", "i", "n", "s"], left.join(right, "k").select("k", "i", "n", "s").collect())
 
 
 def test_quality(docs, empty):
@@ -234,6 +287,8 @@ def test_warc_revisits(spark):
     )
     assert found.where("record_id = 2").first().headers == 'date: d2\netag: "e1"\nserver: s'
     assert resolve_revisits(table.limit(0)).count() == 0
+    extra = table.withColumns({c: F.lit("x" * 5000) for c in ("url_key", "block", "slice", "n", "base", "state", "full")}).withColumn("headers", F.map_concat("headers", F.create_map(F.lit("etag2"), F.lit("y" * 100_000), F.lit("none"), F.lit(None).cast("string"))))
+    same(resolve_revisits(extra), ["record_id", "base_id", "state"], found.select("record_id", "base_id", "state").collect())
     same(spark.createDataFrame([("HTTP://WWW.Ex.org:80/A/?ref=1&b=2#z",)], "u string").select(canonical(F.col("u"))), ["*"], [("ex.org/A/?b=2",)])
 
 
