@@ -7,12 +7,15 @@ suffix array gives the Burrows-Wheeler transform, kept as a wavelet matrix; all
 searched backwards at once through its ranks, occurrences are located by walking to sampled
 suffix positions, and the located spans merge into the removal spans of each document.
 
-Test phrases go to the executors in blocks of at most ``BLOCK_BYTES`` of text each, every block
-searched against all rows; documents are never shuffled.
+Test phrases go to the executors in blocks of about half of ``BLOCK_BYTES`` of text each (or one
+longer item), every block searched against all rows. If all phrases fit one block, documents are
+never shuffled. Else the driver holds one block at a time, each pass writes the hits of its block
+to the shared folder, and at the end the hits meet their rows.
 
 Defined results: null or empty texts have no words and no hits; an item without words has no
 phrase; items that repeat count once by their id; an item whose id is null marks words as hit
-but is not listed; repeated documents are judged each by itself.
+but is not listed; repeated documents are judged each by itself; empty tables have no rows and no
+hits; columns not named in ``also`` are not read.
 """
 
 from __future__ import annotations
@@ -24,7 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyforge.llm.common import tune
+from tallyforge.llm.common import Scratch, tune
+from tallyforge.llm.passages import numbered
 
 BLOCK_BYTES = 16 * 1024 * 1024
 #: Every so many-th position of a run keeps its place in the text.
@@ -168,19 +172,6 @@ def search_shard(texts: list[list[bytes]], phrases: Phrases) -> tuple[np.ndarray
     return source[index.locate(rows)], phrases.sizes[which], which
 
 
-def blocks(items: DataFrame, id_col: str, text_col: str, size: int) -> list:
-    """Broadcast blocks of the test phrases, each of BLOCK_BYTES of text or one longer item."""
-    spark, out, block, held = items.sparkSession, [], [], 0
-    for row in items.select(items[id_col].alias("i"), items[text_col].alias("t")).toLocalIterator():
-        n = len(row.t or "")
-        if block and held + n > BLOCK_BYTES:
-            out.append(spark.sparkContext.broadcast(Phrases(block, size)))
-            block, held = [], 0
-        block.append((row.i, row.t))
-        held += n
-    return [*out, spark.sparkContext.broadcast(Phrases(block, size))]
-
-
 def keep_text(text: str, spans: np.ndarray) -> str:
     """The text without the hit words (given as a mask over its words) and what separates two hit words."""
     data = text.encode()
@@ -195,36 +186,82 @@ def keep_text(text: str, spans: np.ndarray) -> str:
     return b"".join([*out, data[at:]]).decode()
 
 
-def find_leaks(docs: DataFrame, items: DataFrame, *, size: int = 10, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text", also: tuple[str, ...] = (), text_out: bool = False) -> DataFrame:
+def shard_hits(raw: list[str], phrases: Phrases) -> tuple[np.ndarray, list[np.ndarray], list[set]]:
+    """How many words each text has, a mask over the words that are hit, and the items met."""
+    texts = [words_of(t) for t in raw]
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+    at, width, which = search_shard(texts, phrases)
+    edge = np.zeros(int(sizes.sum()) + 1, np.int64)
+    np.add.at(edge, at, 1)
+    np.add.at(edge, at + width, -1)
+    hit, base = np.cumsum(edge)[:-1] > 0, np.cumsum(sizes) - sizes
+    met: list[set] = [set() for _ in texts]
+    doc = np.searchsorted(np.cumsum(sizes), at, "right")
+    pairs = np.unique(doc * (len(phrases.sizes) + 1) + which)
+    for d, p in zip(*divmod(pairs, len(phrases.sizes) + 1), strict=True):
+        met[d].update(phrases.owners[p])
+    return sizes, [hit[s : s + n] for s, n in zip(base, sizes, strict=True)], met
+
+
+def found_in_blocks(rows: DataFrame, items: DataFrame, blocks: int, size: int, scratch: Scratch) -> DataFrame:
+    """rid, spans and item ids (as strings) of every row that a block of the items hits, block after block."""
+    spark = rows.sparkSession
+    dealt = scratch.keep(items.withColumn("block", F.pmod(F.xxhash64("i", "t"), F.lit(blocks)).cast("int")), "items")
+    out = None
+    for k in range(blocks):
+        shared = spark.sparkContext.broadcast(Phrases([(r.i, r.t) for r in dealt.where(F.col("block") == k).collect()], size))
+
+        def run(batches, shared=shared):
+            for b in batches:
+                _, hits, met = shard_hits(b.column(1).to_pylist(), shared.value)
+                some = [i for i, h in enumerate(hits) if h.any()]
+                runs = [np.flatnonzero(np.diff(np.r_[False, hits[i], False].astype(np.int8))).tolist() for i in some]
+                ids = [sorted(map(str, met[i])) for i in some]
+                yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(some, pa.int64())), pa.array(runs, pa.list_(pa.int64())), pa.array(ids, pa.list_(pa.string()))], ["rid", "runs", "items"])
+
+        hits = scratch.keep(rows.select("rid", "text").mapInArrow(run, "rid long, runs array<long>, items array<string>"), f"hits-{k}")
+        shared.destroy()
+        out = hits if out is None else out.unionByName(hits)
+    return out.groupBy("rid").agg(F.collect_list("runs").alias("runs"), F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"))
+
+
+def find_leaks(
+    docs: DataFrame, items: DataFrame, *, size: int = 10, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text", also: tuple[str, ...] = (), text_out: bool = False, block_bytes: int = BLOCK_BYTES
+) -> DataFrame:
     """Per document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated, and the columns
     named in ``also``; with ``text_out`` the clean text too."""
     spark = docs.sparkSession
     tune(spark)
-    shared = blocks(items, item_id_col, item_text_col, size)
-    base = docs.select(docs[id_col].alias("doc_id"), F.coalesce(docs[text_col], F.lit("")).alias("text"), *(docs[c] for c in also))
-    kept = [f for f in base.schema.fields if f.name != "text"]
+    items = items.select(items[item_id_col].alias("i"), items[item_text_col].alias("t")).where("t is not null").distinct()
+    held = items.agg(F.sum(F.octet_length("t"))).first()[0] or 0
+    columns = {"doc_id": id_col, "text": text_col, **{c: c for c in also}}
+    if held <= block_bytes:
+        shared = spark.sparkContext.broadcast(Phrases([tuple(r) for r in items.collect()], size))
+        fed = numbered(docs, columns).drop("rid")
+    else:
+        scratch = Scratch(spark, "decontamination")
+        rows = scratch.keep(numbered(docs, columns), "rows")
+        hits = found_in_blocks(rows, items, -(-2 * held // block_bytes), size, scratch)
+        fed = rows.join(scratch.keep(hits, "hits"), "rid", "left").select(*columns, "runs", "items")
+        shared = None
+    kept = [f for f in fed.schema.fields if f.name in ("doc_id", *also)]
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in kept)
 
+    def masks(raw: list[str], runs: list, items: list) -> tuple[np.ndarray, list[np.ndarray], list[set]]:
+        """As ``shard_hits``, from the hits of the blocks."""
+        sizes = np.fromiter((len(words_of(t)) for t in raw), np.int64, len(raw))
+        hits = [np.zeros(n, bool) for n in sizes]
+        for hit, each in zip(hits, runs, strict=True):
+            for run in each or []:
+                for a, b in zip(run[::2], run[1::2], strict=True):
+                    hit[a:b] = True
+        return sizes, hits, [set(x or []) for x in items]
+
     def run(batches):
         for b in batches:
             raw = b.column(1).to_pylist()
-            texts = [words_of(t) for t in raw]
-            sizes = np.fromiter(map(len, texts), np.int64, len(texts))
-            base = np.cumsum(sizes) - sizes
-            edge = np.zeros(int(sizes.sum()) + 1, np.int64)
-            met: list[set] = [set() for _ in texts]
-            for block in shared:
-                phrases = block.value
-                at, width, which = search_shard(texts, phrases)
-                np.add.at(edge, at, 1)
-                np.add.at(edge, at + width, -1)
-                doc = np.searchsorted(np.cumsum(sizes), at, "right")
-                pairs = np.unique(doc * (len(phrases.sizes) + 1) + which)
-                for d, p in zip(*divmod(pairs, len(phrases.sizes) + 1), strict=True):
-                    met[d].update(phrases.owners[p])
-            hit = np.cumsum(edge)[:-1] > 0
+            sizes, hits, met = shard_hits(raw, shared.value) if shared else masks(raw, b.column(len(columns)).to_pylist(), b.column(len(columns) + 1).to_pylist())
             names = [sorted(map(str, s)) for s in met]
-            hits = [hit[s : s + n] for s, n in zip(base, sizes, strict=True)]
             made = [*(b.column(f.name) for f in kept), pa.array(sizes), pa.array([int(h.sum()) for h in hits], pa.int64()), pa.array(list(map(len, names)), pa.int64()), pa.array([hashlib.sha256(",".join(n).encode()).hexdigest() for n in names])]
             labels = [*(f.name for f in kept), "n_words", "n_hit", "n_items", "items_sha256"]
             if text_out:
@@ -232,5 +269,5 @@ def find_leaks(docs: DataFrame, items: DataFrame, *, size: int = 10, id_col: str
                 labels.append("text")
             yield pa.RecordBatch.from_arrays(made, labels)
 
-    found = base.mapInArrow(run, f"{kinds}, n_words long, n_hit long, n_items long, items_sha256 string" + ", text string" * text_out)
+    found = fed.mapInArrow(run, f"{kinds}, n_words long, n_hit long, n_items long, items_sha256 string" + ", text string" * text_out)
     return found.withColumn("contaminated", F.col("n_hit") > 0)

@@ -107,6 +107,8 @@ def test_decontamination(spark, docs, empty):
     found = find_leaks(docs, table, also=("lang",), text_out=True)
     same(found, columns, list(leaks(ROWS, items)))
     assert not find_leaks(found.where("doc_id < 60").select("doc_id", "text"), table.where("item_id = 1")).where("contaminated").count()
+    blocks = find_leaks(docs, table, also=("lang",), text_out=True, block_bytes=40)
+    same(blocks, [*columns, "text"], found.select(*columns, "text").collect())
     assert find_leaks(empty, table).count() == 0
     assert find_leaks(docs, table.limit(0)).where("contaminated").count() == 0
 
