@@ -46,7 +46,7 @@ SHARPEN = 2
 #: The hinge losses' total weight against the ridge penalty.
 COST = 100_000.0
 #: Training sentences whose words are held at once.
-SENTENCES = 2000
+SENTENCES = 500
 #: Characters of texts that are split into words at once, and of words whose kernel values are held at once.
 TEXT_CHARS, WORD_CHARS = 1 << 18, 1 << 14
 #: Places of a subsequence's characters from its first one on: all choices within six.
@@ -178,11 +178,13 @@ class Kernel:
         return out + ((self(part) @ beta).tolist() if part else [])
 
 
-def fit_svm(x: np.ndarray, y: np.ndarray, cost: np.ndarray, ridge: float = 1.0) -> np.ndarray:
-    """Weights and, last, the bias of a linear SVM with squared hinge loss, by Newton steps on the active rows."""
-    x = np.c_[x, np.ones(len(x), np.float32)]
+def fit_svm(x: np.ndarray, y: np.ndarray, cost: np.ndarray, use: np.ndarray, ridge: float = 1.0) -> np.ndarray:
+    """Weights of a linear SVM with squared hinge loss on the rows in ``use``, by Newton steps on the active ones.
+
+    The last column of ``x`` is 1, so that the last weight is the bias.
+    """
     penalty = np.diag(np.r_[np.full(x.shape[1] - 1, ridge), 1e-6])
-    active = np.ones(len(x), bool)
+    active = use
     for _ in range(25):
         square, side, rows = penalty.copy(), np.zeros(len(penalty)), np.flatnonzero(active)
         for lo in range(0, len(rows), 4096):
@@ -191,13 +193,18 @@ def fit_svm(x: np.ndarray, y: np.ndarray, cost: np.ndarray, ridge: float = 1.0)
             square += part.T @ (part * cost[r, None])
             side += part.T @ (cost[r] * y[r])
         w = np.linalg.solve(square, side)
-        now = y * (x @ w) < 1
+        now = use & (y * products(x, w) < 1)
         if (now == active).all():
             break
         active = now
     return w
 
 
+def products(x: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """``x @ w`` without a second ``x`` in double precision."""
+    return np.concatenate([x[lo : lo + 4096] @ w for lo in range(0, len(x), 4096)])
+
+
 def fit_logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     x = np.c_[x, np.ones(len(x))]
     w = np.zeros(x.shape[1])
@@ -252,21 +259,22 @@ def train(rows: list[tuple[str, int]], *, landmarks: int = 160) -> Model:
     root = vectors @ np.diag(1 / np.sqrt(np.maximum(values, 1e-2))) @ vectors.T
     flat = [s for t in texts for s in t]
     of = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
-    x = np.zeros((len(flat), len(chosen)), np.float32)
+    x, narrow = np.ones((len(flat), len(chosen) + 1), np.float32), root.astype(np.float32)
     for lo in range(0, len(flat), SENTENCES):  # bounds the words whose kernel values are held
         part = flat[lo : lo + SENTENCES]
         number = {w: i for i, w in enumerate(dict.fromkeys(w for s in part for w in s))}
         table = kernel(list(number))
+        sums = np.zeros((len(part), len(chosen)), np.float32)
         for i, s in enumerate(part):
-            x[lo + i] = table[[number[w] for w in s]].sum(axis=0)
-    x = x @ root.astype(np.float32)
+            sums[i] = table[[number[w] for w in s]].sum(axis=0)
+        x[lo : lo + len(part), :-1] = sums @ narrow
     y = np.where(labels[of] == 1, 1.0, -1.0)
     use = np.ones(len(x), bool)
     for _ in range(4):
         positive = max(1, int((y[use] > 0).sum()))
         cost = np.where(y > 0, len(y) / (2 * positive), len(y) / (2 * max(1, int((y < 0).sum())))) / len(y) * COST
-        w = fit_svm(x[use], y[use], cost[use])
-        score = x @ w[:-1] + w[-1]
+        w = fit_svm(x, y, cost, use)
+        score = products(x, w)
         use = y < 0
         for d in np.flatnonzero(labels == 1):  # the best third of each toxic text's sentences, one at least
             mine = np.flatnonzero(of == d)
