@@ -57,13 +57,16 @@ HOT_SHARE = 1024
 def meet(left: DataFrame, right: DataFrame, keys: list[str], count: str, total: int) -> DataFrame:
     """Inner join with a ``right`` of one row a key, whose column ``count`` says how many of ``left``'s ``total`` rows have it.
 
-    Keys that hold more than a ``HOT_SHARE``-th of the rows are at most ``HOT_SHARE`` in number: these meet their rows
-    in a broadcast join wherever the rows are, and only the others are dealt out by key.
+    Keys that hold more than a ``HOT_SHARE``-th of the rows are at most ``HOT_SHARE`` in number: these are looked up
+    first, and meet their rows in a broadcast join wherever the rows are; only the others are dealt out by key.
+    ``right`` is read more than once.
     """
-    hot = F.col(count) > max(200, total // HOT_SHARE)
-    few = right.where(hot)
-    rest = left.join(F.broadcast(few.select(*keys)), keys, "left_anti").join(right.where(~hot), keys)
-    return left.join(F.broadcast(few), keys).unionByName(rest)
+    few = right.where(F.col(count) > max(200, total // HOT_SHARE)).collect()
+    if not few:
+        return left.join(right, keys)
+    hot = left.sparkSession.createDataFrame(few, right.schema)
+    rest = left.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(right, keys)
+    return left.join(F.broadcast(hot), keys).unionByName(rest)
 
 
 def tune(spark: SparkSession) -> None:

@@ -31,21 +31,21 @@ def repeats(rows: DataFrame, length: int, k: int, scratch: Scratch) -> DataFrame
     """rid, start, stop (words) of the repeats, not yet merged, for (rid, text) rows that can be read again."""
     anchors = scratch.keep(find_regions(rows, length, k).select("rid", "start", "count", "gram", "region"), "anchors")
     seen = anchors.groupBy("gram").agg(F.count("*").alias("n"), F.min("region").alias("lo"), F.max("region").alias("hi")).where("n > 1")
-    seen = seen.select("gram", "n", (F.col("lo") == F.col("hi")).alias("same"))
+    seen = scratch.keep(seen.select("gram", "n", (F.col("lo") == F.col("hi")).alias("same")), "seen")
     met = scratch.keep(meet(anchors, seen, ["gram"], "n", anchors.count()).select("rid", "start", "count", "gram", "region", "same"), "met")
     scratch.drop("anchors")
     odd = met.where("not same")
-    groups = odd.groupBy("gram", "region").agg(F.count("*").alias("n"), F.min(F.struct("rid", "start", "count")).alias("one"))
+    groups = scratch.keep(odd.groupBy("gram", "region").agg(F.count("*").alias("n"), F.min(F.struct("rid", "start", "count")).alias("one")), "groups")
     wanted = groups.select("one.*", "gram", F.least("n", F.lit(2)).cast("int").alias("weight"))
     windows = scratch.keep(spread_windows(rows, wanted, length), "windows")
-    again = windows.groupBy("gram", "window").agg(F.sum("weight").alias("n")).where("n > 1")
+    again = scratch.keep(windows.groupBy("gram", "window").agg(F.sum("weight").alias("n")).where("n > 1"), "again")
     span = (F.col("start") + F.col("count") + (length - 1)).alias("stop")
     alike = meet(odd, groups.where("n > 1").select("gram", "region", "n"), ["gram", "region"], "n", odd.count())
     single = meet(windows.where("weight = 1"), again, ["gram", "window"], "n", windows.agg(F.sum("weight")).first()[0] or 0)
     found = met.where("same").select("rid", "start", span).unionByName(alike.select("rid", "start", span)).unionByName(single.select("rid", "start", (F.col("start") + length).alias("stop")))
     kept = scratch.keep(found, "repeats")
-    scratch.drop("met")
-    scratch.drop("windows")
+    for name in ("seen", "met", "groups", "windows", "again"):
+        scratch.drop(name)
     return kept
 
 

@@ -190,8 +190,8 @@ def suffix_array(suffixes: DataFrame, scratch: Scratch) -> DataFrame:
 def repeats(rows: DataFrame, length: int, k: int, scratch: Scratch) -> DataFrame:
     """rid, start, stop (words) of the repeats, not yet merged."""
     retained = scratch.keep(find_regions(rows, length, k), "suffixes")
-    again = retained.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1")
-    again = scratch.keep(meet(retained, again, ["gram"], "n", retained.count()).drop("n"), "again")
+    counts = scratch.keep(retained.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1"), "counts")
+    again = scratch.keep(meet(retained, counts, ["gram"], "n", retained.count()).drop("n"), "again")
     scratch.drop("suffixes")
     met = suffix_array(with_words(rows, again, length), scratch)
     whole = met.where("twin").select("rid", "start", "stop")
@@ -201,7 +201,7 @@ def repeats(rows: DataFrame, length: int, k: int, scratch: Scratch) -> DataFrame
     extended = compare_neighbours(windows, "gram", "window", scratch, "extended")
     single = extended.where("twin and weight = 1").select("rid", "start", (F.col("start") + length).alias("stop"))
     kept = scratch.keep(whole.unionByName(single), "repeats")
-    for name in ("again", "sorted", "windows", "extended"):
+    for name in ("counts", "again", "sorted", "windows", "extended"):
         scratch.drop(name)
     return kept
 
