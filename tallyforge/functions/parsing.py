@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
@@ -47,7 +47,9 @@ def clamp(value: Column, low: float, high: float) -> Column:
 
 def strict_bool(json: Column, path: str) -> Column:
     """1 or 0 for a JSON boolean, null for anything else, numbers and quoted words too."""
-    return F.when(F.get_json_object(json, path) == "true", 1).when(F.get_json_object(json, path) == "false", 0)
+    kind = F.schema_of_variant(F.try_variant_get(F.try_parse_json(json), path, "variant"))
+    value = F.get_json_object(json, path)
+    return F.when((kind == "BOOLEAN") & (value == "true"), 1).when((kind == "BOOLEAN") & (value == "false"), 0)
 
 
 def slug(text: Column) -> Column:
@@ -83,3 +85,34 @@ def full_year(short: Column, pivot: int = 70) -> Column:
 
 def short_digest(*columns: Column) -> Column:
     return F.substring(F.sha1(F.concat_ws("\t", *columns)), 1, 8)
+
+
+def file_name(text: Column, most: int) -> Column:
+    """What is safe in a file name; every run of other characters becomes one underscore."""
+    return F.substring(F.regexp_replace(F.regexp_replace(text, "[^A-Za-z0-9._-]+", "_"), "^_+|_+$", ""), 1, most)
+
+
+def iso_seconds(text: Column) -> Column:
+    """Seconds since 1970 of an ISO date and time, which is UTC where it names no offset; other texts are null."""
+    shape = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[T ][0-9]{2}:[0-9]{2}:[0-9]{2}([.][0-9]+)?(Z|[+-][0-9]{2}:?[0-9]{2})?$"
+    whole = F.when(text.rlike(r"(Z|[+-][0-9]{2}:?[0-9]{2})$"), text).otherwise(F.concat(text, F.lit("Z")))
+    return F.when(text.rlike(shape), F.unix_seconds(whole.try_cast("timestamp")))
+
+
+def with_exponent(mantissa: Column, exponent: Column) -> Column:
+    """The double nearest to mantissa x 10^exponent, both decimal text."""
+    return safe_float(F.concat(F.trim(mantissa), F.lit("e"), F.trim(exponent)))
+
+
+def integers(line: Column) -> Column:
+    """The numbers of a line of space-separated integers."""
+    return F.transform(F.filter(F.split(F.trim(line), "[ \\t]+"), lambda x: x != ""), lambda x: x.cast("bigint"))
+
+
+def is_finite(value: Column) -> Column:
+    return value.isNotNull() & ~F.isnan(value) & (F.abs(value) < F.lit(float("inf")))
+
+
+def from_keyed(rows: DataFrame, body: str, kind: str) -> DataFrame:
+    """Rows of (key, value) of a JSON object whose keys are data; text that is no object has none."""
+    return rows.select(*(c for c in rows.columns if c != body), F.explode(F.from_json(body, f"map<string,{kind}>")).alias("key", "value"))

@@ -100,3 +100,88 @@ def shards(df: DataFrame, keys: list[str], order: list[str], size: int) -> DataF
     """shard and offset within it of every row in its group's order."""
     at = F.row_number().over(W.partitionBy(*keys).orderBy(*order)) - 1
     return df.withColumn("_at", at).withColumn("shard", F.floor(F.col("_at") / size)).withColumn("offset", F.col("_at") % size).drop("_at")
+
+
+def reachable(start: DataFrame, links: DataFrame, steps: int) -> DataFrame:
+    """(page, depth) of the pages within ``steps`` links (page, to) of the start; each step joins only the newest pages."""
+    seen = start.distinct().withColumn("depth", F.lit(0))
+    newest = seen
+    for depth in range(1, steps + 1):
+        ahead = newest.join(links, "page").select(F.col("to").alias("page")).distinct()
+        newest = ahead.join(seen.select("page"), "page", "left_anti").withColumn("depth", F.lit(depth))
+        seen = seen.unionByName(newest)
+    return seen
+
+
+def accepted(manifest: DataFrame, index: DataFrame, *, min_values: int, min_bytes: int, min_median: float) -> DataFrame:
+    """The acceptance report: one row a dataset of the manifest, by status, sizes and id.
+
+    index: dataset_id, series_id, value_count, sample_bytes, role, inferred. A dataset without
+    primary samples is broken, whether its index is missing or holds auxiliary ones alone.
+    """
+    primary = F.col("role") == "primary"
+    of = lambda c, mine: F.when(mine, F.col(c))
+    sums = index.groupBy("dataset_id").agg(
+        *(F.sum(of(c, m)).alias(f"{r}_{n}") for r, m in (("primary", primary), ("auxiliary", ~primary)) for c, n in (("value_count", "values"), ("sample_bytes", "sample_bytes"))),
+        F.count_if(primary).alias("primary_sample_rows"),
+        F.count_if(~primary).alias("auxiliary_sample_rows"),
+        F.median(of("value_count", primary)).alias("median_primary_sample_value_count"),
+        F.median(of("sample_bytes", primary)).alias("median_primary_sample_size_bytes"),
+        F.array_join(F.array_sort(F.collect_set(F.when(F.col("inferred"), F.col("series_id")))), ",").alias("inferred"),
+        F.lit(True).alias("has_index"),
+    )
+    numbers = [c for c in sums.columns if c not in ("dataset_id", "inferred", "has_index")]
+    rows = manifest.join(sums, "dataset_id", "left").fillna(0, numbers).fillna(False, ["has_index"])
+    low = F.when((F.col("primary_values") < min_values) & (F.col("primary_sample_bytes") < min_bytes), "aggregate_floor")
+    reasons = F.when(F.col("primary_sample_rows") == 0, "missing_primary_payload").otherwise(F.concat_ws(",", low, F.when(F.col("median_primary_sample_value_count") < min_median, "median_sample_floor")))
+    status = F.when(F.col("primary_sample_rows") == 0, "broken").when(F.col("reasons") == "", "ok").otherwise("below_floor")
+    none = lambda c: F.when(F.coalesce(c, F.lit("")) == "", "none").otherwise(c)
+    rows = rows.withColumn("reasons", reasons)
+    out = rows.select("dataset_id", status.alias("status"), *numbers, "has_index", none(F.col("inferred")).alias("inferred_auxiliary_series"), none(F.col("reasons")).alias("failure_reasons"))
+    return out.orderBy("status", "primary_values", "primary_sample_bytes", "median_primary_sample_value_count", "median_primary_sample_size_bytes", "dataset_id")
+
+
+def state(manifest: DataFrame, index: DataFrame, *, min_values: int, min_bytes: int, min_median: float, max_bytes: int) -> DataFrame:
+    """The state report: a row for every series of a dataset, with the dataset's status and reasons.
+
+    index: dataset_id, series_id, sample, value_count, sample_bytes, role, path, missing,
+    numeric_kind, bit_width. A dataset of the manifest without any row is not_built.
+    """
+    shares, names = [0.1, 0.25, 0.5, 0.75, 0.9], ["p10", "p25", "median", "p75", "p90"]
+    keys = ["dataset_id", "series_id"]
+
+    def spread(c: str, n: str) -> list[Column]:
+        return [F.min(c).alias(f"min_{n}"), F.percentile(c, F.array(*map(F.lit, shares))).alias(f"_{n}"), F.max(c).alias(f"max_{n}")]
+
+    series = index.groupBy(*keys).agg(
+        F.first("role").alias("role"),
+        F.array_join(F.array_sort(F.collect_set("numeric_kind")), ",").alias("numeric_kind"),
+        F.array_join(F.array_sort(F.collect_set("bit_width")).cast("array<string>"), ",").alias("bit_width"),
+        F.count("*").alias("samples"),
+        F.sum("value_count").alias("values_total"),
+        F.sum("sample_bytes").alias("bytes_total"),
+        *spread("value_count", "values"),
+        *spread("sample_bytes", "bytes"),
+        F.min_by("path", "sample").alias("first_sample_path"),
+        F.count_if("missing").alias("missing_files"),
+    )
+    modes = index.groupBy(*keys, "sample_bytes").agg(F.count("*").alias("n")).groupBy(*keys).agg((F.max("n") / F.sum("n")).alias("same_size_fraction"))
+    mine = lambda c: F.when(F.col("role") == "primary", F.col(c))
+    whole = index.groupBy("dataset_id").agg(F.sum(mine("value_count")).alias("v"), F.sum(mine("sample_bytes")).alias("b"), F.count(mine("sample_bytes")).alias("n"), F.median(mine("value_count")).alias("m"), F.bool_or("missing").alias("gone"))
+    at = lambda c: F.coalesce(F.col(c), F.lit(0))
+    tests = {"missing_primary_payload": F.col("n") == 0, "value_floor": at("v") < min_values, "byte_floor": at("b") < min_bytes, "median_sample_floor": at("m") < min_median, "primary_size_cap": F.col("b") > max_bytes, "missing_sample_files": F.col("gone")}
+    reasons = F.concat_ws(",", *(F.when(c, k) for k, c in tests.items()))
+    built = whole.select("dataset_id", reasons.alias("reasons"))
+    status = F.when(F.col("reasons").isNull(), "not_built").when(F.col("reasons") == "", "ok").otherwise("needs_attention")
+    rows = manifest.join(built, "dataset_id", "left").join(series.join(modes, keys), "dataset_id", "left")
+    flat = [F.col(f"_{n}")[i].alias(f"{p}_{n}") for n in ("values", "bytes") for i, p in enumerate(names)]
+    kept = [c for c in series.columns if not c.startswith("_") and c != "dataset_id"]
+    return rows.select("dataset_id", status.alias("status"), F.coalesce("reasons", F.lit("missing_sample_index")).alias("reasons"), *kept, *flat, "same_size_fraction")
+
+
+def against_paths(registry: DataFrame, paths: DataFrame, key: str, status: str, active: str) -> DataFrame:
+    """(key, finding) where a registry's status disagrees with the paths that exist; both sides have one row a key."""
+    marked = registry.select(key, F.col(status).alias("_status")).join(paths.select(key, F.lit(True).alias("_path")), key, "full")
+    there = F.col("_path").isNotNull()
+    finding = F.when(F.col("_status").isNull(), "path_without_row").when((F.col("_status") == active) & ~there, f"{active}_without_path").when((F.col("_status") != active) & there, F.concat("_status", F.lit("_with_path")))
+    return marked.select(key, finding.alias("finding")).where("finding is not null")

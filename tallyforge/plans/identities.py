@@ -172,3 +172,11 @@ def self_loops(t: Tables) -> DataFrame:
 def coordinate_bounds(t: Tables) -> DataFrame:
     lat, lon = (F.col("s_nationkey") * 7.5 - 90).cast("double"), (F.col("s_suppkey") % 400 - 180).cast("double")
     return t("supplier").select("s_suppkey", lat.alias("lat"), lon.alias("lon")).where("lat between -90 and 90 and lon between -180 and 180")
+
+
+@query("SELECT user_id, array_to_string(flatten(list([event_id::VARCHAR, (round(value * 100))::BIGINT::VARCHAR] ORDER BY event_id)), ' ') AS vector FROM events GROUP BY 1")
+def interleave_values(t: Tables) -> DataFrame:
+    """The vectors of ``interleave`` with all their values, in cents."""
+    pairs = F.array_sort(F.collect_list(F.struct("event_id", F.round(F.col("value") * 100).cast("bigint").alias("cents"))))
+    flat = F.flatten(F.transform("p", lambda e: F.array(e.event_id.cast("string"), e.cents.cast("string"))))
+    return t("events").groupBy("user_id").agg(pairs.alias("p")).select("user_id", F.array_join(flat, " ").alias("vector"))

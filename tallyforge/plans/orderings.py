@@ -99,3 +99,17 @@ def round_robin_whole(t: Tables) -> DataFrame:
     rows = t("events").select("event_type", "user_id", "event_id")
     turns = rows.withColumn("turn", F.row_number().over(W.partitionBy("event_type", "user_id").orderBy("event_id")))
     return turns.withColumn("type_turn", F.row_number().over(W.partitionBy("event_type").orderBy("turn", "user_id")))
+
+
+@query(
+    """WITH d AS (SELECT label, vec_id, list_dot_product(embedding::DOUBLE[], (lag(embedding) OVER w)::DOUBLE[]) AS dot, list_distance(embedding::DOUBLE[], (lag(embedding) OVER w)::DOUBLE[]) AS step FROM embeddings WINDOW w AS (PARTITION BY label ORDER BY vec_id))
+    SELECT label, vec_id, round(dot, 5) AS dot, round(step, 5) AS step FROM d WHERE dot IS NOT NULL"""
+)
+def vector_dots(t: Tables) -> DataFrame:
+    """Each vector against the one before it in its label, over all coordinates: dot product and distance."""
+    before = F.lag("embedding").over(W.partitionBy("label").orderBy("vec_id"))
+    pairs = t("embeddings").select("label", "vec_id", "embedding", before.alias("before")).where("before is not null")
+    zipped = F.arrays_zip(F.col("embedding").cast("array<double>").alias("a"), F.col("before").cast("array<double>").alias("b"))
+    add = lambda f: F.aggregate("z", F.lit(0.0), lambda acc, e: acc + f(e))
+    out = pairs.select("label", "vec_id", zipped.alias("z"))
+    return out.select("label", "vec_id", F.round(add(lambda e: e.a * e.b), 5).alias("dot"), F.round(F.sqrt(add(lambda e: (e.a - e.b) * (e.a - e.b))), 5).alias("step"))

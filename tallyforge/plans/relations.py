@@ -29,8 +29,9 @@ def dim_left_default(t: Tables) -> DataFrame:
 )
 def role_left(t: Tables) -> DataFrame:
     index = t("lineitem").groupBy("l_linestatus", "l_returnflag").agg(F.count("*").alias("n"))
-    role = F.when(F.col("l_returnflag") == "N", "auxiliary")
-    return index.withColumn("role", F.coalesce(role, F.lit("primary"))).groupBy("role").agg(F.sum("n").alias("total"))
+    roles = index.sparkSession.createDataFrame([("N", "auxiliary")], "l_returnflag string, role string")
+    named = index.join(F.broadcast(roles), "l_returnflag", "left")
+    return named.groupBy(F.coalesce("role", F.lit("primary")).alias("role")).agg(F.sum("n").alias("total"))
 
 
 @query("SELECT c_custkey FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F')")
@@ -105,9 +106,11 @@ def argmax_longest(t: Tables) -> DataFrame:
 
 @query("WITH r AS (SELECT l_suppkey, l_quantity, row_number() OVER (PARTITION BY l_suppkey ORDER BY l_quantity) AS k, count(*) OVER (PARTITION BY l_suppkey) AS n FROM lineitem) SELECT l_suppkey, l_quantity AS upper_median FROM r WHERE k = n // 2 + 1")
 def upper_median(t: Tables) -> DataFrame:
+    """From the counts of distinct values, so that rows combine before the shuffle: the first value with more than half at or below it."""
+    counts = t("lineitem").groupBy("l_suppkey", "l_quantity").agg(F.count("*").alias("k"))
     w = W.partitionBy("l_suppkey")
-    ranked = t("lineitem").select("l_suppkey", "l_quantity", F.row_number().over(w.orderBy("l_quantity")).alias("k"), F.count("*").over(w).alias("n"))
-    return ranked.where("k = n div 2 + 1").select("l_suppkey", F.col("l_quantity").alias("upper_median"))
+    ranked = counts.select("l_suppkey", "l_quantity", F.sum("k").over(w.orderBy("l_quantity")).alias("upto"), F.sum("k").over(w).alias("n"))
+    return ranked.where("upto > n div 2").groupBy("l_suppkey").agg(F.min("l_quantity").alias("upper_median"))
 
 
 @query("SELECT l_partkey, count(*) AS n, count(DISTINCT l_quantity) AS kinds, min(l_shipdate)::DATE AS first_day, max(l_shipdate)::DATE AS last_day FROM lineitem GROUP BY 1 HAVING count(*) >= 20 AND count(DISTINCT l_quantity) > 1")
@@ -180,11 +183,13 @@ def first_n_per_group(t: Tables) -> DataFrame:
 @query("SELECT event_type, event_id FROM events QUALIFY row_number() OVER (PARTITION BY event_type ORDER BY event_id) <= CASE event_type WHEN 'click' THEN 3 WHEN 'purchase' THEN 10 ELSE 5 END")
 def per_group_limits(t: Tables) -> DataFrame:
     most = F.when(F.col("event_type") == "click", 3).when(F.col("event_type") == "purchase", 10).otherwise(5)
-    return S.first_per_group(t("events").select("event_type", "event_id"), ["event_type"], ["event_id"], most).drop("rank")
+    few = S.first_per_group(t("events").select("event_type", "event_id"), ["event_type"], ["event_id"], 10)  # the largest limit, below the shuffle
+    return few.where(F.col("rank") <= most).drop("rank")
 
 
 @query("SELECT n_name, row_number() OVER (ORDER BY CASE WHEN n_name LIKE '%A' THEN 0 ELSE 1 END, length(n_name), n_name)::INT AS place FROM nation")
 def custom_order(t: Tables) -> DataFrame:
+    """Places in an order of one's own, over a dimension of a few rows: its unpartitioned window is for no larger table."""
     order = [F.when(F.col("n_name").endswith("A"), 0).otherwise(1), F.length("n_name"), "n_name"]
     return t("nation").select("n_name", F.row_number().over(W.orderBy(*order)).alias("place"))
 
@@ -223,3 +228,15 @@ def array_constancy(t: Tables) -> DataFrame:
 def deinterleave(t: Tables) -> DataFrame:
     channel = F.filter("embedding", lambda x, i: i % 3 == 1)
     return t("embeddings").select("vec_id", F.size(channel).alias("n"), F.get(channel, F.lit(0)).cast("double").alias("first_value"))
+
+
+@query(
+    """WITH g AS (SELECT user_id, list(event_id ORDER BY event_id) AS a, list(value ORDER BY event_id) FILTER (event_type <> 'view') AS b FROM events GROUP BY 1),
+    n AS (SELECT user_id, a, b, unnest(range(1, least(len(a), coalesce(len(b), 0)) + 1)) AS i FROM g) SELECT user_id, i - 1 AS place, a[i] AS event_id, b[i] AS value FROM n"""
+)
+def positional_zip_rows(t: Tables) -> DataFrame:
+    """The pairs of ``positional_zip_truncate`` themselves, a row each."""
+    order = lambda c: F.array_sort(F.collect_list(c))
+    both = t("events").groupBy("user_id").agg(order(F.struct("event_id", "value")).alias("a"), order(F.when(F.col("event_type") != "view", F.struct("event_id", "value"))).alias("b"))
+    pairs = F.slice(F.arrays_zip(F.col("a.event_id").alias("x"), F.col("b.value").alias("y")), F.lit(1), F.least(F.size("a"), F.size("b")))
+    return both.select("user_id", F.posexplode(pairs).alias("place", "z")).select("user_id", F.col("place").cast("bigint").alias("place"), F.col("z.x").alias("event_id"), F.col("z.y").alias("value"))

@@ -71,3 +71,22 @@ def union_pages(t: Tables) -> DataFrame:
 @query("SELECT k FROM (SELECT DISTINCT c_nationkey AS k FROM customer INTERSECT SELECT s_nationkey FROM supplier)")
 def intersect_seen(t: Tables) -> DataFrame:
     return t("customer").select(F.col("c_nationkey").alias("k")).intersect(t("supplier").select(F.col("s_nationkey").alias("k")))
+
+
+@query(
+    """WITH l AS (SELECT doc_id, coalesce(text, '') AS text FROM documents), c AS (SELECT doc_id, text, regexp_extract(text, '(?is)^(.*?)[^\\n]*licen[sc]e', 1) AS head, regexp_matches(text, '(?i)licen[sc]e') AS marked FROM l),
+    h AS (SELECT doc_id, CASE WHEN marked THEN head ELSE text END AS body FROM c)
+    SELECT doc_id, length(body) AS kept_chars, md5(body) AS kept_md5 FROM h"""
+)
+def marker_strip_text(t: Tables) -> DataFrame:
+    """The text before the first line that names a licence."""
+    text = F.coalesce("text", F.lit(""))
+    head = F.regexp_extract(text, r"(?is)^(.*?)[^\n]*licen[sc]e", 1)
+    body = F.when(text.rlike("(?i)licen[sc]e"), head).otherwise(text)
+    return t("documents").select("doc_id", body.alias("body")).select("doc_id", F.length("body").cast("bigint").alias("kept_chars"), F.md5("body").alias("kept_md5"))
+
+
+@query("SELECT doc_id, length(coalesce(text, '')) + len(regexp_extract_all(coalesce(text, ''), '[\\x{10000}-\\x{10FFFF}]')) AS units FROM documents")
+def utf16_lengths(t: Tables) -> DataFrame:
+    """How many 16-bit code units every whole text has."""
+    return t("documents").select("doc_id", (F.octet_length(F.encode(F.coalesce("text", F.lit("")), "UTF-16LE")) / 2).cast("bigint").alias("units"))

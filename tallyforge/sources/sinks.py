@@ -22,9 +22,18 @@ def write_report(df: DataFrame, path: str) -> None:
 
 
 def markdown(df: DataFrame, most: int = 200) -> str:
-    """A table of the first rows for people to read."""
-    rows = [df.columns, ["---"] * len(df.columns), *([("" if v is None else str(v)) for v in r] for r in df.limit(most).collect())]
-    return "\n".join("| " + " | ".join(r) + " |" for r in rows)
+    """A table of the first rows for people to read; a last line says so if there are more."""
+    found = df.limit(most + 1).collect()
+    rows = [df.columns, ["---"] * len(df.columns), *([("" if v is None else str(v)) for v in r] for r in found[:most])]
+    more = [f"\nOnly the first {most} rows are shown."] if len(found) > most else []
+    return "\n".join(["| " + " | ".join(r) + " |" for r in rows] + more)
+
+
+def write_summary(df: DataFrame, path: str) -> None:
+    """A one-row table as one JSON object; another number of rows is an error."""
+    if (n := df.limit(2).count()) != 1:
+        raise ValueError(f"a summary has one row, not {'none' if not n else 'more'}")
+    write_index(df.coalesce(1), path)
 
 
 def ratios(df: DataFrame, size: str, packed: str) -> DataFrame:

@@ -11,9 +11,16 @@ from pyspark.sql import functions as F
 
 
 def lines(spark: SparkSession, path: str) -> DataFrame:
-    """path, line (from 1), value of every line. Each file is read whole by one task, so that places count from its start."""
-    whole = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), "value")
-    return whole.select("path", F.posexplode(F.split("value", "\r?\n")).alias("line", "value")).withColumn("line", F.col("line") + 1).where("value <> ''")
+    """path, line (from 1), value of every line that is not empty.
+
+    A large file is read in splits: lines are counted inside their split, and the counts of the
+    splits before it are added.
+    """
+    read = spark.read.option("lineSep", "\n").text(path).select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"), F.regexp_replace("value", "\r$", "").alias("value"))
+    counts = read.groupBy("path", "block").agg(F.count("*").alias("n"))
+    before = counts.select("path", "block", F.coalesce(F.sum("n").over(W.partitionBy("path").orderBy("block").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("before"))
+    placed = read.withColumn("line", F.row_number().over(W.partitionBy("path", "block").orderBy("at")))
+    return placed.join(before, ["path", "block"]).select("path", (F.col("line") + F.col("before")).cast("int").alias("line"), "value").where("value <> ''")
 
 
 def checked_csv(spark: SparkSession, path: str, required: list[str], *, sep: str = ",") -> DataFrame:
@@ -116,3 +123,53 @@ def matrix_market(spark: SparkSession, path: str) -> DataFrame:
 def edges(spark: SparkSession, path: str) -> DataFrame:
     """src, dst of graph edge lists; self loops are left out."""
     return fields(lines(spark, path), 2).select(F.col("fields")[0].cast("bigint").alias("src"), F.col("fields")[1].cast("bigint").alias("dst")).where("src <> dst")
+
+
+def positional(spark: SparkSession, path: str, names: list[str], arity: int, *, sep: str = ",") -> DataFrame:
+    """CSV without a header as text columns; rows of fewer than ``arity`` fields are kept in ``corrupt`` alone."""
+    rows = spark.read.text(path).where("trim(value) <> ''")
+    parts = F.from_csv("value", ", ".join(f"`{n}` string" for n in names), {"sep": sep, "mode": "PERMISSIVE"})
+    enough = F.size(F.split("value", F.lit(sep), -1)) >= arity
+    found = rows.select(F.when(enough, parts).alias("p"), F.when(~enough, F.col("value")).alias("corrupt"))
+    return found.select(*(F.col(f"p.`{n}`").alias(n) for n in names), "corrupt")
+
+
+def json_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """One object a line, blank lines left out; a line that is no object is kept in ``corrupt`` alone."""
+    read = spark.read.schema(f"{schema}, corrupt string").option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "corrupt")
+    return read.json(path)
+
+
+def registry(spark: SparkSession, path: str, columns: list[str], *, sep: str = "\t") -> DataFrame:
+    """A separated table whose header must be exactly these columns in this order."""
+    df = spark.read.option("header", True).option("sep", sep).csv(path)
+    if df.columns != columns:
+        raise ValueError(f"{path}: columns are {', '.join(df.columns)}, not {', '.join(columns)}")
+    return df
+
+
+def xml_rows(spark: SparkSession, path: str, tag: str, schema: str) -> DataFrame:
+    """Elements named ``tag`` at any depth; attributes are columns that begin with an underscore. Entities are not expanded from outside."""
+    return spark.read.schema(schema).option("rowTag", tag).xml(path)
+
+
+def unique_entries(rows: DataFrame, key: str, order: list[str]) -> DataFrame:
+    """The first entry of every key."""
+    return rows.withColumn("_k", F.row_number().over(W.partitionBy(key).orderBy(*order))).where("_k = 1").drop("_k")
+
+
+def nested(spark: SparkSession, path: str, schema: str, array: str) -> DataFrame:
+    """The elements of an array inside whole JSON documents, a row each, with the document's other columns."""
+    docs = spark.read.schema(schema).option("multiLine", True).json(path)
+    rest = [c for c in docs.columns if c != array.split(".")[0]]
+    return docs.select(*rest, F.posexplode_outer(array).alias("ord", "_e")).select(*rest, "ord", "_e.*")
+
+
+def with_files(spark: SparkSession, index: DataFrame, path_col: str, size_col: str, folder: str) -> DataFrame:
+    """An index with what lies in the folder: ``exists``, and whether the size agrees. Contents are not read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder).select("path", F.col("length").alias("_length"))
+    base = F.lit(folder.rstrip("/") + "/")
+    name = F.regexp_replace("path", "^[a-z]+:/+", "/")
+    files = files.select(F.substr(name, F.length(F.regexp_replace(base, "^[a-z]+:/+", "/")) + 1).alias(path_col), "_length")
+    joined = index.join(files, path_col, "left")
+    return joined.select(*index.columns, F.col("_length").isNotNull().alias("exists"), (F.col("_length") == F.col(size_col)).alias("same_size"))
