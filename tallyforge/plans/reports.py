@@ -168,7 +168,7 @@ def described_series(t: Tables) -> DataFrame:
 
 
 @query(f"WITH {SERIES_SQL} SELECT doc_id, rules, rules <> '' AS is_opaque FROM o")
-def opaque_payloads(t: Tables) -> DataFrame:
+def payload_rules(t: Tables) -> DataFrame:
     """Series whose field, class or words (all of a pattern's) say that a file was copied and not read."""
     return described_series(t).select("doc_id", "rules", (F.col("rules") != "").alias("is_opaque"))
 
