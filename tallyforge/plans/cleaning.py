@@ -159,6 +159,14 @@ def text_scalars(t: Tables) -> DataFrame:
     return t("part").select("p_partkey", P.slug(F.col("p_name")).alias("slug"), F.lpad(F.col("p_partkey").cast("string"), 8, "0").alias("padded"), F.regexp_extract("p_brand", "([0-9]+)", 1).cast("int").alias("brand_no"), P.snake(F.lit("partTypeID")).alias("snake"))
 
 
+@query(
+    r"""SELECT c_custkey, lower(regexp_replace(regexp_replace(c_mktsegment || 'Of' || c_name, '([A-Z]+)([A-Z][a-z])', '\1_\2', 'g'), '([a-z0-9])([A-Z])', '\1_\2', 'g')) AS snake FROM customer"""
+)
+def snake_names(t: Tables) -> DataFrame:
+    """Names of mixed case, with runs of capitals, in small letters and underscores."""
+    return t("customer").select("c_custkey", P.snake(F.concat("c_mktsegment", F.lit("Of"), "c_name")).alias("snake"))
+
+
 @query(
     """SELECT o_orderkey, (date_diff('day', DATE '0001-01-01', o_orderdate::DATE) + 1)::INT AS ordinal, epoch_ms(o_orderdate) AS ms, (year(o_orderdate) * 10000 + month(o_orderdate) * 100 + day(o_orderdate))::INT AS packed,
     (year(o_orderdate) * 12 + month(o_orderdate))::INT AS months, date_diff('day', DATE '1970-01-01', o_orderdate::DATE)::INT AS days FROM orders"""

@@ -58,6 +58,19 @@ def vector_steps(t: Tables) -> DataFrame:
     return at.withColumn("step", step).groupBy("label").agg(F.round(F.median("step"), 5).alias("median_step"), F.round(F.max("step"), 5).alias("longest_step"))
 
 
+@query(
+    """WITH d AS (SELECT label, list_distance(embedding::DOUBLE[], lag(embedding::DOUBLE[]) OVER (PARTITION BY label ORDER BY vec_id)) AS step FROM embeddings)
+    SELECT label, count(step) AS steps, round(median(step), 5) AS median_step, round(max(step), 5) AS longest_step FROM d GROUP BY 1"""
+)
+def vector_steps_whole(t: Tables) -> DataFrame:
+    """Lengths of the steps from vector to vector of a label, over all their coordinates."""
+    before = F.lag("embedding").over(W.partitionBy("label").orderBy("vec_id"))
+    squares = F.zip_with("embedding", "before", lambda a, b: F.pow(a.cast("double") - b.cast("double"), 2))
+    step = F.sqrt(F.aggregate(squares, F.lit(0.0), lambda a, x: a + x))
+    steps = t("embeddings").select("label", "embedding", before.alias("before")).select("label", step.alias("step"))
+    return steps.groupBy("label").agg(F.count("step").alias("steps"), F.round(F.median("step"), 5).alias("median_step"), F.round(F.max("step"), 5).alias("longest_step"))
+
+
 @query("SELECT event_id, last_value(CASE WHEN event_type = 'purchase' THEN event_id END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS header FROM events")
 def ffill_header(t: Tables) -> DataFrame:
     rows = t("events").select("user_id", "ts", "event_id", "event_type")
