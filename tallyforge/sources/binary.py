@@ -1,8 +1,9 @@
 """Typed arrays out of binary files: a small decoder per format over ``binaryFile`` rows, in tasks.
 
-Every decoder yields (record, kind, shape, axes, values as doubles); a file that does not fit
-its format yields one row with ``error`` set and no values, so that rejects are counted, not
-lost. Files are read whole by a task, as these formats cannot be split.
+Every decoder yields (record, kind, shape, axes, values as doubles); whole numbers of 64 bits, which
+a double cannot hold, stand in ``longs`` instead. A file that does not fit its format yields one row
+with ``error`` set and no values, so that rejects are counted, not lost; so do unsigned numbers
+beyond the signed 64 bits. Files are read whole by a task, as these formats cannot be split.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tallyforge.session import ship
 
-SCHEMA = "path string, record int, kind string, shape array<int>, axes array<string>, values array<double>, error string"
+SCHEMA = "path string, record int, kind string, shape array<int>, axes array<string>, values array<double>, longs array<bigint>, error string"
 Decoded = tuple[str, tuple[int, ...], tuple[str, ...], np.ndarray]
 
 #: Codes of raw arrays.
@@ -90,7 +91,7 @@ def tiff16(data: bytes) -> Iterator[Decoded]:
         need(tags.get(258, (1,)) == (16,) and packing in (1, 8, 32946) and tags.get(317, (1,))[0] == 1, "other TIFF layout")
         strips = [data[o : o + n] for o, n in zip(tags[273], tags[279], strict=True)]
         body = b"".join(strips if packing == 1 else map(zlib.decompress, strips))
-        need(len(body) >= 2 * width * height, "cut short")
+        need(len(body) == 2 * width * height, "strips do not fit the image")
         signed = tags.get(339, (1,))[0] == 2
         yield ("i16" if signed else "u16"), (height, width), ("row", "column"), np.frombuffer(body, order + ("i2" if signed else "u2"), width * height)
         at = struct.unpack_from(order + "I", data, at + 2 + 12 * count)[0]
@@ -100,7 +101,9 @@ def las_intensity(data: bytes) -> Iterator[Decoded]:
     need(data[:4] == b"LASF", "no LAS file")
     start, size = struct.unpack_from("<I", data, 96)[0], struct.unpack_from("<H", data, 105)[0]
     count = struct.unpack_from("<I", data, 107)[0]
-    need(start + size * count <= len(data), "cut short")
+    if data[25] >= 4 and not count:  # from version 1.4 on the count of 64 bits holds
+        count = struct.unpack_from("<Q", data, 247)[0]
+    need(size >= 14 and start + size * count <= len(data), "cut short")
     points = np.frombuffer(data, np.uint8, size * count, start).reshape(count, size)
     yield "u16", (count,), ("point",), points[:, 12:14].copy().view("<u2").ravel()
 
@@ -122,13 +125,15 @@ def mrc(data: bytes) -> Iterator[Decoded]:
 
 
 def segy_i16(data: bytes) -> Iterator[Decoded]:
-    """SEG-Y of format 3: one record a trace."""
+    """SEG-Y of format 3: one record a trace, of the length that its own header gives, else the file's."""
     need(len(data) > 3600 and struct.unpack_from(">h", data, 3224)[0] == 3, "no SEG-Y file of format 3")
-    n = struct.unpack_from(">H", data, 3220)[0]
-    step = 240 + 2 * n
-    need(n > 0 and (len(data) - 3600) % step == 0, "traces do not fit")
-    for at in range(3600, len(data), step):
+    usual, at = struct.unpack_from(">H", data, 3220)[0], 3600
+    while at < len(data):
+        need(at + 240 <= len(data), "traces do not fit")
+        n = struct.unpack_from(">H", data, at + 114)[0] or usual
+        need(n > 0 and at + 240 + 2 * n <= len(data), "traces do not fit")
         yield "i16", (n,), ("sample",), np.frombuffer(data, ">i2", n, at + 240)
+        at += 240 + 2 * n
 
 
 def iq16(data: bytes) -> Iterator[Decoded]:
@@ -150,18 +155,20 @@ def decode_files(spark: SparkSession, path: str, decoder: Callable[[bytes], Iter
                     use = decoder or DECODERS.get(name.rpartition(".")[2].lower())
                     need(use is not None, "no decoder for this suffix")
                     for at, (kind, shape, axes, values) in enumerate(list(use(data))):  # a damaged file gives nothing
-                        row = [name], [at], [kind], [list(shape)], [list(axes)], [np.asarray(values, float)], [None]
+                        wide = kind in ("i64", "u64")
+                        need(kind != "u64" or not len(values) or int(values.max()) < 1 << 63, "beyond 64 signed bits")
+                        row = [name], [at], [kind], [list(shape)], [list(axes)], [None if wide else np.asarray(values, float)], [values.astype(np.int64) if wide else None], [None]
                         yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row, TYPES, strict=True)], NAMES)
                 except (ValueError, KeyError, struct.error, zipfile.BadZipFile, zlib.error) as e:
-                    row = [name], [at], [None], [None], [None], [None], [str(e)]
+                    row = [name], [at], [None], [None], [None], [None], [None], [str(e)]
                     yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row, TYPES, strict=True)], NAMES)
 
     ship(spark)
     return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(run, SCHEMA)
 
 
-TYPES = [pa.string(), pa.int32(), pa.string(), pa.list_(pa.int32()), pa.list_(pa.string()), pa.list_(pa.float64()), pa.string()]
-NAMES = ["path", "record", "kind", "shape", "axes", "values", "error"]
+TYPES = [pa.string(), pa.int32(), pa.string(), pa.list_(pa.int32()), pa.list_(pa.string()), pa.list_(pa.float64()), pa.list_(pa.int64()), pa.string()]
+NAMES = ["path", "record", "kind", "shape", "axes", "values", "longs", "error"]
 
 
 def zip_members(spark: SparkSession, path: str) -> DataFrame:

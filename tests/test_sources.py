@@ -129,6 +129,37 @@ def test_raw_arrays(kind):
         assert got[3].tolist() == values.tolist()
 
 
+def test_binary_odd_layouts(spark, tmp_path):
+    high = [9223372036854775807, -9007199254740993]
+    late = bytearray(las([7, 65000]))
+    late[25:26], late[107:111] = b"\x04", bytes(4)
+    late[96:100] = struct.pack("<I", 255)
+    late[227:227] = bytes(20) + struct.pack("<Q", 2)
+    varying = bytearray(segy([[1, 2]]))
+    trace = bytearray(240)
+    struct.pack_into(">H", trace, 114, 3)
+    files = {
+        "a.npy": io.BytesIO(),
+        "b.npy": io.BytesIO(),
+        "c.las": io.BytesIO(bytes(late)),
+        "d.sgy": io.BytesIO(bytes(varying + trace) + np.array([3, 4, 5], ">i2").tobytes()),
+        "e.tif": io.BytesIO(tiff([1, 2, 3, 4, 5], 2)),
+    }
+    np.save(files["a.npy"], np.array(high))
+    np.save(files["b.npy"], np.array([1 << 63], np.uint64))
+    for name, data in files.items():
+        (tmp_path / name).write_bytes(data.getvalue())
+    found = sorted((r.path[-5:], r.record, r["values"], r.longs, r.error) for r in B.decode_files(spark, str(tmp_path)).collect())
+    assert found == [
+        ("a.npy", 0, None, high, None),
+        ("b.npy", 0, None, None, "beyond 64 signed bits"),
+        ("c.las", 0, [7.0, 65000.0], None, None),
+        ("d.sgy", 0, [1.0, 2.0], None, None),
+        ("d.sgy", 1, [3.0, 4.0, 5.0], None, None),
+        ("e.tif", 0, None, None, "strips do not fit the image"),
+    ]
+
+
 def test_zip_and_sinks(spark, tmp_path):
     with zipfile.ZipFile(tmp_path / "z.zip", "w") as z:
         z.writestr("m.csv", "1,2")
@@ -154,7 +185,7 @@ def test_parsing(spark):
     assert got[10][2] == 10_000.0 and got[11][2] == 2e6
     one = spark.range(1)
     assert tuple(one.select(P.clock_seconds(F.lit("25:01:02")), P.full_year(F.lit(69)), P.full_year(F.lit(70)), P.snake(F.lit("HTTPCode")), P.clamp(F.lit(7.0), 0.0, 5.0)).first()) == (90062, 2069, 1970, "http_code", 5.0)
-    assert [r[0] for r in spark.createDataFrame([('{"a": true}',), ('{"a": 1}',)], "j string").select(P.strict_bool(F.col("j"), "$.a")).collect()] == [1, None]
+    assert [r[0] for r in spark.createDataFrame([('{"a": true}',), ('{"a": 1}',), ('{"a": "true"}',), ('{"a": false}',), ("{",), (None,)], "j string").select(P.strict_bool(F.col("j"), "$.a")).collect()] == [1, None, None, 0, None, None]
 
 
 def test_streaming(spark, tmp_path):
