@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tallyforge.llm.common import table
 from tallyforge.llm.decontamination import find_leaks
+from tallyforge.llm.filter_audit import ORACLE as FILTERS_SQL
+from tallyforge.llm.filter_audit import audit_filters
+from tallyforge.llm.fingerprints import fingerprint_edits
 from tallyforge.llm.near_duplicates import near_duplicates
 from tallyforge.llm.quality import judge
 from tallyforge.llm.sentencepiece_codec import Pieces, code_texts
@@ -17,6 +20,8 @@ from tallyforge.llm.substring_dedup import drop_repeats
 from tallyforge.llm.suffix_dedup import mark_repeats
 from tallyforge.llm.token_counts import count_tokens
 from tallyforge.llm.toxicity import toxicity
+from tallyforge.llm.vector_codes import ORACLE as CODES_SQL
+from tallyforge.llm.vector_codes import code_vectors
 from tallyforge.llm.warc_revisits import ORACLE as REVISITS_SQL
 from tallyforge.llm.warc_revisits import captures_of_pages, resolve_revisits
 
@@ -71,6 +76,18 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mark_repeats(table(spark, sf_dir, "documents")).select(*REPEAT_COLUMNS)
 
 
+def op11_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_edits(table(spark, sf_dir, "documents"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit_filters(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return code_vectors(spark, table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
@@ -82,6 +99,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_suffix_array_dedup": op10_suffix_array_dedup,
+    "op11_document_fingerprints": op11_document_fingerprints,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_vector_codes": op13_vector_codes,
 }
 
 #: SQL of what the operators compute, on whole tables; fit for small scales.
@@ -133,4 +153,6 @@ ORACLES: dict[str, str] = {
     "op7_warc_revisits": REVISITS_SQL,
     "op9_substring_dedup": WINDOWS_SQL.format(length=35) + REPEATS_SQL,
     "op10_suffix_array_dedup": WINDOWS_SQL.format(length=50) + REPEATS_SQL,
+    "op12_filter_audit": FILTERS_SQL,
+    "op13_vector_codes": CODES_SQL,
 }
