@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tallyforge.operators.ranks import placed
+
 
 def unpivot(df: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
     """keys, series_id, value."""
@@ -83,17 +85,19 @@ def keep_last(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     return keep_first(df, keys, [F.desc(c) for c in order])
 
 
-def dictionary(df: DataFrame, value: str, first_seen: str | None = None, capacity: int = 65_535) -> DataFrame:
+def dictionary(df: DataFrame, value: str, first_seen: str | None = None, capacity: int | None = 65_535) -> DataFrame:
     """value, code (from 1; 0 is for missing): in the order of first appearance, or sorted.
 
-    More distinct values than ``capacity`` are an error. The bound also keeps the final ranking
-    small: the first ``capacity + 1`` values are picked in parallel before they meet in one task.
+    More distinct values than ``capacity`` are an error; None sets no bound, and codes are then longs. Values are
+    sorted and numbered over the cluster, so any number of them may be coded.
     """
-    order = F.min(first_seen) if first_seen else F.first(value)
-    seen = df.where(F.col(value).isNotNull()).groupBy(value).agg(order.alias("_o")).orderBy("_o", value).limit(capacity + 1)
-    code = F.row_number().over(W.orderBy("_o", value))
-    checked = F.when(F.col("_c") <= capacity, F.col("_c")).otherwise(F.raise_error(F.lit(f"more than {capacity} values in {value}")).cast("int"))
-    return seen.withColumn("_c", code).select(value, checked.alias("code"))
+    rows = df.where(F.col(value).isNotNull())
+    seen = rows.groupBy(value).agg(F.min(first_seen).alias("_o")) if first_seen else rows.select(value).distinct()
+    coded = placed(seen, ["_o", value] if first_seen else [value], "_c")
+    if capacity is None:
+        return coded.select(value, F.col("_c").alias("code"))
+    checked = F.when(F.col("_c") <= capacity, F.col("_c").cast("int")).otherwise(F.raise_error(F.lit(f"more than {capacity} values in {value}")).cast("int"))
+    return coded.select(value, checked.alias("code"))
 
 
 def shards(df: DataFrame, keys: list[str], order: list[str], size: int) -> DataFrame:
@@ -102,17 +106,6 @@ def shards(df: DataFrame, keys: list[str], order: list[str], size: int) -> DataF
     return df.withColumn("_at", at).withColumn("shard", F.floor(F.col("_at") / size)).withColumn("offset", F.col("_at") % size).drop("_at")
 
 
-def reachable(start: DataFrame, links: DataFrame, steps: int) -> DataFrame:
-    """(page, depth) of the pages within ``steps`` links (page, to) of the start; each step joins only the newest pages."""
-    seen = start.distinct().withColumn("depth", F.lit(0))
-    newest = seen
-    for depth in range(1, steps + 1):
-        ahead = newest.join(links, "page").select(F.col("to").alias("page")).distinct()
-        newest = ahead.join(seen.select("page"), "page", "left_anti").withColumn("depth", F.lit(depth))
-        seen = seen.unionByName(newest)
-    return seen
-
-
 def accepted(manifest: DataFrame, index: DataFrame, *, min_values: int, min_bytes: int, min_median: float) -> DataFrame:
     """The acceptance report: one row a dataset of the manifest, by status, sizes and id.
 

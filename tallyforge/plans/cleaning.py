@@ -147,9 +147,10 @@ def set_equality(t: Tables) -> DataFrame:
     return a.join(b, "k", "full").agg(F.count_if(F.col("b").isNull()).alias("missing"), F.count_if(F.col("a").isNull()).alias("unexpected"), F.count_if(F.col("a").isNotNull() & F.col("b").isNotNull()).alias("common"))
 
 
-@query("SELECT n_nationkey FROM nation EXCEPT SELECT s_nationkey FROM supplier")
+@query("SELECT o_orderkey FROM orders EXCEPT SELECT l_orderkey FROM lineitem")
 def except_required(t: Tables) -> DataFrame:
-    return t("nation").select("n_nationkey").exceptAll(t("supplier").select("s_nationkey").distinct()).distinct()
+    """Required keys that no row has."""
+    return t("orders").select("o_orderkey").exceptAll(t("lineitem").select("l_orderkey").distinct()).distinct()
 
 
 @query(

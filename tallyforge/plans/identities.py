@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tallyforge.operators import records as R
-from tallyforge.operators import sequences as S
+from tallyforge.operators.ranks import placed
 from tallyforge.registry import Tables, query
 
 
@@ -19,9 +19,10 @@ def duplicate_of(t: Tables) -> DataFrame:
     return rows.join(first, "h").select("doc_id", F.when(F.col("doc_id") != F.col("first_id"), F.col("first_id")).alias("duplicate_of"))
 
 
-@query("SELECT event_id FROM events QUALIFY row_number() OVER (PARTITION BY user_id, ts ORDER BY event_id) > 1")
+@query("SELECT event_id FROM events QUALIFY row_number() OVER (PARTITION BY user_id, date_trunc('hour', ts) ORDER BY event_id) > 1")
 def repeated_as_malformed(t: Tables) -> DataFrame:
-    w = W.partitionBy("user_id", "ts").orderBy("event_id")
+    """Rows after the first of their user and hour."""
+    w = W.partitionBy("user_id", F.date_trunc("hour", "ts")).orderBy("event_id")
     return t("events").select("event_id", F.row_number().over(w).alias("r")).where("r > 1").select("event_id")
 
 
@@ -117,13 +118,12 @@ def polymorphic_scalar(t: Tables) -> DataFrame:
     return t("events").select("event_id", text.alias("text")).select("event_id", v.alias("v"))
 
 
-@query("SELECT user_id, list_aggregate(flatten(list([event_id::DOUBLE, value] ORDER BY event_id)), 'count')::BIGINT AS n, first(value ORDER BY event_id) AS second FROM events GROUP BY 1")
+@query("WITH v AS (SELECT user_id, flatten(list([event_id::DOUBLE, value] ORDER BY event_id)) AS v FROM events GROUP BY 1) SELECT user_id, unnest(range(0, len(v))) AS place, unnest(v) AS value FROM v")
 def interleave(t: Tables) -> DataFrame:
-    """Two columns of a record as one vector in source order."""
-    pairs = F.array_sort(F.collect_list(F.struct("event_id", "value")))
-    vector = F.flatten(F.transform("p", lambda e: F.array(e.event_id.cast("double"), e.value)))
-    flat = t("events").groupBy("user_id").agg(pairs.alias("p")).select("user_id", vector.alias("v"))
-    return flat.select("user_id", F.aggregate("v", F.lit(0).cast("bigint"), lambda a, x: a + F.when(x.isNull(), 0).otherwise(1)).alias("n"), F.get("v", F.lit(1)).alias("second"))
+    """Two columns of a record as one vector in source order, an element a row."""
+    rows = placed(t("events").select("user_id", "event_id", F.col("value").alias("v")), ["event_id"], "n", keys=("user_id",))
+    both = F.posexplode(F.array(F.col("event_id").cast("double"), "v")).alias("side", "value")
+    return rows.select("user_id", "n", both).select("user_id", (F.col("n") * 2 - 2 + F.col("side")).alias("place"), "value")
 
 
 @query(
@@ -144,12 +144,13 @@ def equal_lengths(t: Tables) -> DataFrame:
 
 
 @query(
-    """WITH r AS (SELECT event_type, event_id, row_number() OVER (PARTITION BY event_type ORDER BY event_id) AS turn FROM events)
-    SELECT event_type, event_id, row_number() OVER (ORDER BY turn, event_type)::INT AS place FROM r WHERE turn <= 10"""
+    """WITH r AS (SELECT event_type, event_id, row_number() OVER (PARTITION BY event_type ORDER BY event_id NULLS FIRST) AS turn FROM events)
+    SELECT event_type, event_id, row_number() OVER (ORDER BY turn, event_type NULLS FIRST) AS place FROM r"""
 )
 def round_robin_places(t: Tables) -> DataFrame:
-    turns = S.first_per_group(t("events").select("event_type", "event_id"), ["event_type"], ["event_id"], 10)
-    return turns.select("event_type", "event_id", F.row_number().over(W.orderBy("rank", "event_type")).alias("place"))
+    """Every event's place when the types take turns."""
+    turns = placed(t("events").select("event_type", "event_id"), ["event_id"], "turn", keys=("event_type",))
+    return placed(turns, ["turn", "event_type"], "place").select("event_type", "event_id", "place")
 
 
 @query(

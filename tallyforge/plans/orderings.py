@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tallyforge.operators import sequences as S
+from tallyforge.operators.ranks import placed
 from tallyforge.registry import Tables, query
 
 
@@ -47,15 +48,12 @@ def consecutive_ids(t: Tables) -> DataFrame:
 
 
 @query(
-    """WITH s AS (SELECT label, vec_id, embedding[1]::DOUBLE AS x, embedding[2]::DOUBLE AS y FROM embeddings), d AS (SELECT label, sqrt(pow(x - lag(x) OVER w, 2) + pow(y - lag(y) OVER w, 2)) AS step FROM s WINDOW w AS (PARTITION BY label ORDER BY vec_id))
+    """WITH d AS (SELECT label, list_distance(embedding::DOUBLE[], lag(embedding::DOUBLE[]) OVER (PARTITION BY label ORDER BY vec_id)) AS step FROM embeddings)
     SELECT label, round(median(step), 5) AS median_step, round(max(step), 5) AS longest_step FROM d GROUP BY 1"""
 )
 def vector_steps(t: Tables) -> DataFrame:
-    w = W.partitionBy("label").orderBy("vec_id")
-    x, y = (F.get("embedding", F.lit(i)).cast("double") for i in (0, 1))
-    at = t("embeddings").select("label", "vec_id", x.alias("x"), y.alias("y"))
-    step = F.sqrt(F.pow(F.col("x") - F.lag("x").over(w), 2) + F.pow(F.col("y") - F.lag("y").over(w), 2))
-    return at.withColumn("step", step).groupBy("label").agg(F.round(F.median("step"), 5).alias("median_step"), F.round(F.max("step"), 5).alias("longest_step"))
+    """The usual and the longest step from vector to vector of a label, over all their coordinates."""
+    return vector_steps_whole(t).drop("steps")
 
 
 @query(
@@ -89,29 +87,27 @@ def span_cutoff(t: Tables) -> DataFrame:
     return t("events").join(start, "user_id").where("ts < start + interval 7 days").select("user_id", "event_id")
 
 
-@query("SELECT user_id, ts, count(*) AS n, count(DISTINCT value) > 1 AS conflict FROM events GROUP BY 1, 2 HAVING count(*) > 1")
+@query("SELECT user_id, date_trunc('hour', ts) AS ts, count(*) AS n, count(DISTINCT value) > 1 AS conflict FROM events GROUP BY ALL HAVING count(*) > 1")
 def conflict_same_ts(t: Tables) -> DataFrame:
-    return t("events").groupBy("user_id", "ts").agg(F.count("*").alias("n"), (F.count_distinct("value") > 1).alias("conflict")).where("n > 1")
+    """Rows of one user and hour, and whether their values disagree."""
+    hours = t("events").groupBy("user_id", F.date_trunc("hour", "ts").alias("ts"))
+    return hours.agg(F.count("*").alias("n"), (F.count_distinct("value") > 1).alias("conflict")).where("n > 1")
 
 
-@query(
-    """WITH r AS (SELECT event_type, event_id, row_number() OVER (PARTITION BY event_type ORDER BY event_id) AS turn FROM events)
-    SELECT event_type, event_id, turn::INT AS turn FROM r WHERE turn <= 40"""
-)
+@query("SELECT event_type, event_id, row_number() OVER (PARTITION BY event_type ORDER BY event_id NULLS FIRST) AS turn FROM events")
 def round_robin(t: Tables) -> DataFrame:
-    """Turns of each type, the first 40 only, as its SQL has it; sorting by turn, then type, interleaves them. ``round_robin_whole`` has no cap."""
-    return S.first_per_group(t("events").select("event_type", "event_id"), ["event_type"], ["event_id"], 40).withColumnRenamed("rank", "turn")
+    """Every event's turn among its type's; sorting by turn, then type, interleaves the types."""
+    return placed(t("events").select("event_type", "event_id"), ["event_id"], "turn", keys=("event_type",))
 
 
 @query(
     """WITH r AS (SELECT event_type, user_id, event_id, row_number() OVER (PARTITION BY event_type, user_id ORDER BY event_id NULLS FIRST) AS turn FROM events)
-    SELECT event_type, user_id, event_id, turn::INT AS turn, (row_number() OVER (PARTITION BY event_type ORDER BY turn, user_id NULLS FIRST))::INT AS type_turn FROM r"""
+    SELECT event_type, user_id, event_id, turn, row_number() OVER (PARTITION BY event_type ORDER BY turn, user_id NULLS FIRST) AS type_turn FROM r"""
 )
 def round_robin_whole(t: Tables) -> DataFrame:
     """Every event with its turn among its type and user's, and its place among its type's when users take turns; sorting by type_turn, then type, interleaves the types."""
-    rows = t("events").select("event_type", "user_id", "event_id")
-    turns = rows.withColumn("turn", F.row_number().over(W.partitionBy("event_type", "user_id").orderBy("event_id")))
-    return turns.withColumn("type_turn", F.row_number().over(W.partitionBy("event_type").orderBy("turn", "user_id")))
+    turns = placed(t("events").select("event_type", "user_id", "event_id"), ["event_id"], "turn", keys=("event_type", "user_id"))
+    return placed(turns, ["turn", "user_id"], "type_turn", keys=("event_type",))
 
 
 @query(

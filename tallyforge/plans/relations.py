@@ -39,9 +39,11 @@ def planned_semi(t: Tables) -> DataFrame:
     return t("customer").join(t("orders").where("o_orderstatus = 'F'").select(F.col("o_custkey").alias("c_custkey")), "c_custkey", "left_semi").select("c_custkey")
 
 
-@query("SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_custkey IS NOT NULL)")
+@query("SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_custkey IS NOT NULL AND o_orderpriority = '1-URGENT')")
 def missing_anti(t: Tables) -> DataFrame:
-    return t("customer").join(t("orders").select(F.col("o_custkey").alias("c_custkey")), "c_custkey", "left_anti").select("c_custkey")
+    """Customers that no urgent order names."""
+    urgent = t("orders").where("o_orderpriority = '1-URGENT'").select(F.col("o_custkey").alias("c_custkey"))
+    return t("customer").join(urgent, "c_custkey", "left_anti").select("c_custkey")
 
 
 @query(

@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tallyforge.functions import parsing as P
-from tallyforge.operators import records as R
+from tallyforge.operators import fixpoints as X
 from tallyforge.operators import strict
 from tallyforge.registry import Tables, query
 
@@ -184,7 +184,7 @@ def link_walk(t: Tables) -> DataFrame:
     """Pages that can be reached in four steps over a table of links, each at its least depth."""
     k = F.col("p_partkey")
     links = t("part").select(k.alias("page"), F.explode(F.array(k * 3 + 1, k * 7 + 2)).alias("to"))
-    return R.reachable(t("part").where("p_partkey < 3").select(k.alias("page")), links, 4)
+    return X.walk(links, t("part").where("p_partkey < 3").select(k.alias("page")), steps=4)
 
 
 @query(
@@ -212,10 +212,13 @@ def two_caps(t: Tables) -> DataFrame:
     return few.orderBy("h", "o_orderkey").limit(100).select("o_custkey", "o_orderkey")
 
 
-@query("WITH f AS (SELECT l_suppkey, product(1 - l_discount) AS p, max(l_extendedprice / l_quantity) AS m FROM lineitem WHERE l_linenumber = 1 AND l_orderkey % 50 = 0 GROUP BY 1) SELECT l_suppkey, round(p, 9) AS kept, isfinite(p) AS finite, ceil(m)::BIGINT AS most FROM f")
+@query(
+    """SELECT l_orderkey, round(product(1 - l_discount), 9) AS kept, isfinite(product(1 - l_discount)) AS finite, ceil(max(l_extendedprice / l_quantity))::BIGINT AS most FROM lineitem GROUP BY 1"""
+)
 def finite_products(t: Tables) -> DataFrame:
-    facts = t("lineitem").where("l_linenumber = 1 and l_orderkey % 50 = 0").groupBy("l_suppkey").agg(F.product(1 - F.col("l_discount")).alias("p"), F.max(F.col("l_extendedprice") / F.col("l_quantity")).alias("m"))
-    return facts.select("l_suppkey", F.round("p", 9).alias("kept"), P.is_finite(F.col("p")).alias("finite"), F.ceil("m").alias("most"))
+    """What all discounts of an order leave of a price, whether that is a number, and the dearest unit rounded up."""
+    facts = t("lineitem").groupBy("l_orderkey").agg(F.product(1 - F.col("l_discount")).alias("p"), F.max(F.col("l_extendedprice") / F.col("l_quantity")).alias("m"))
+    return facts.select("l_orderkey", F.round("p", 9).alias("kept"), P.is_finite(F.col("p")).alias("finite"), F.ceil("m").alias("most"))
 
 
 @query("WITH f AS (SELECT user_id, event_id, value, max(CASE WHEN value > 400 THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS over FROM events) SELECT user_id, count(*) FILTER (over = 0) AS kept, count(*) AS rows FROM f GROUP BY 1")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyforge.functions.text import code_units, packed_ratio, strip_accents
+from tallyforge.functions.text import packed_ratio, strip_accents
 from tallyforge.registry import Tables, query
 
 
@@ -19,10 +19,14 @@ def zlib_ratio(t: Tables) -> DataFrame:
     return t("documents").select("doc_id", F.round(packed_ratio(F.encode("text", "UTF-8")), 6).alias("ratio"))
 
 
-@query("SELECT item_id, length(text) AS units, unicode(text[1]) AS first_unit, CASE WHEN text = '' THEN NULL ELSE unicode(text[-1]) END AS last_unit FROM benchmark")
+@query(
+    r"""WITH c AS (SELECT doc_id, list_transform(regexp_extract_all(text, '(?s).'), lambda c: unicode(c)) AS c FROM documents)
+    SELECT doc_id, (len(c) + len(list_filter(c, lambda x: x > 65535)))::BIGINT AS units, md5(array_to_string(list_transform(c, lambda x: CASE WHEN x < 65536 THEN printf('%04X', x) ELSE printf('%04X%04X', 55296 + (x - 65536) // 1024, 56320 + (x - 65536) % 1024) END), '')) AS digest FROM c"""
+)
 def utf16_units(t: Tables) -> DataFrame:
-    units = code_units(F.col("text"))
-    return t("benchmark").select("item_id", units.alias("u")).select("item_id", F.size("u").cast("bigint").alias("units"), F.get("u", F.lit(0)).alias("first_unit"), F.try_element_at("u", F.lit(-1)).alias("last_unit"))
+    """How many 16-bit code units every whole text has, and a digest of all of them, surrogates apart."""
+    units = F.hex(F.encode("text", "UTF-16BE"))
+    return t("documents").select("doc_id", units.alias("u")).select("doc_id", (F.length("u") / 4).cast("bigint").alias("units"), F.md5("u").alias("digest"))
 
 
 @query("SELECT doc_id, CASE WHEN ('0x' || substr(md5(doc_id::VARCHAR), 1, 8))::BIGINT % 10 = 0 THEN 'test' ELSE 'train' END AS part FROM documents")
