@@ -6,50 +6,15 @@ input, whatever their names, never clash with the operator's own working columns
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyforge.session import ship
+from tallyforge.session import Scratch, shared_folder, ship  # noqa: F401 - operators take Scratch from here
 
 #: Bytes of text that one Arrow batch may carry to a Python worker.
 BATCH_BYTES = 4 * 1024 * 1024
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; in local mode a fresh one where that is unset, on a cluster an error."""
-    where = spark.conf.get("spark.checkpoint.dir", None)
-    if not where:
-        where = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not where:
-        if not spark.sparkContext.master.split("[")[0] == "local":
-            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-        where = "file://" + tempfile.mkdtemp(prefix="tallyforge-")
-        spark.sparkContext.setCheckpointDir(where)
-        spark.conf.set("spark.checkpoint.dir", where)
-    return where.rstrip("/")
-
-
-class Scratch:
-    """Tables that cut lineage: written once to the shared folder, so lost executors cost a reread only."""
-
-    def __init__(self, spark: SparkSession, label: str):
-        self.spark = spark
-        self.base = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
-
-    def keep(self, df: DataFrame, name: str) -> DataFrame:
-        path = f"{self.base}/{name}"
-        df.write.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
-
-    def drop(self, name: str) -> None:
-        jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(f"{self.base}/{name}")
-        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-
-
 #: Keys that a join treats apart are at most so many, as each of them holds more than such a share of the rows.
 HOT_SHARE = 1024
 

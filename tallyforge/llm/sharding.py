@@ -8,7 +8,7 @@ takes all directory entries under it; only the buckets that are too large at tha
 to deeper bits in the next round. Texts are never shuffled: rows carry id, key and size.
 
 Defined results: a null text has 0 bytes; a bucket of one row is a shard even if the row is
-larger than the limit (``fits`` is then false); repeated rows are dealt like others; an empty
+larger than the limit (``fits`` is then false); ids may be null or repeated, as each row is a row; repeated rows are dealt like others; an empty
 table has no shards; columns other than the id and the text are not read.
 """
 
@@ -39,18 +39,19 @@ def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return base.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), (content * (1 << 16) + row).alias("key"))
 
 
-#: A limit that is not given is this share of the table's bytes, or ``LEAST_LIMIT``.
-SHARDS, LEAST_LIMIT = 256, 64 << 10
+#: Bytes of text that a shard holds at most, whatever the table's size.
+LIMIT = 1 << 20
 
 
-def assign_shards(docs: DataFrame, *, limit: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def assign_shards(docs: DataFrame, *, limit: int = LIMIT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_bytes, shard (its prefix bits), depth, fits of every document; ``limit`` is in bytes."""
+    if limit < 1:
+        raise ValueError("a shard holds a byte at least")
     spark = docs.sparkSession
     tune(spark)
     scratch = Scratch(spark, "sharding")
     rows = scratch.keep(keyed(docs, id_col, text_col), "rows")
     total = rows.agg(F.sum("n_bytes")).first()[0] or 0
-    limit = limit or max(LEAST_LIMIT, -(-total // SHARDS))
     depth = min(KEY_BITS, max(0, math.ceil(math.log2(max(1, total / limit)))) + FINER)
     above, out, left, number = 0, None, rows, 0
     while True:
@@ -79,8 +80,24 @@ def assign_shards(docs: DataFrame, *, limit: int | None = None, id_col: str = "d
 
 
 def write_shards(docs: DataFrame, shards: DataFrame, path: str, *, id_col: str = "doc_id") -> None:
-    """The documents as Parquet, one folder a shard; ids must be unique and not null (others are left out)."""
-    docs.join(shards.select(F.col("doc_id").alias(id_col), "shard"), id_col).repartition("shard").write.partitionBy("shard").parquet(path)
+    """The documents as Parquet, one folder a shard. Ids that are null or repeated would lose or multiply rows, and are an error; ``shard_rows`` takes such tables too."""
+    n, different = docs.agg(F.count("*"), F.count_distinct(id_col)).first()
+    if n != different:
+        raise ValueError(f"{n} rows have {different} different ids; use shard_rows")
+    met = docs.join(shards.select(F.col("doc_id").alias(id_col), "shard"), id_col)
+    met.repartition("shard").write.partitionBy("shard").parquet(path)
+
+
+def shard_rows(docs: DataFrame, path: str, *, limit: int = LIMIT, text_col: str = "text") -> None:
+    """Every row of the table as Parquet, one folder a shard, whatever its ids: rows are numbered once, in a written table, and joined back by that number."""
+    if {"_row", "shard"} & set(docs.columns):
+        raise ValueError("the table has a column _row or shard already")
+    tune(docs.sparkSession)
+    scratch = Scratch(docs.sparkSession, "shard-rows")
+    rows = scratch.keep(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    shards = assign_shards(rows, limit=limit, id_col="_row", text_col=text_col).select(F.col("doc_id").alias("_row"), "shard")
+    rows.join(shards, "_row").drop("_row").repartition("shard").write.partitionBy("shard").parquet(path)
+    scratch.drop("rows")
 
 
 ORACLE = f"""
@@ -88,7 +105,7 @@ WITH d AS (
   SELECT doc_id, coalesce(strlen(text), 0)::BIGINT AS n_bytes,
          ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || '|' || coalesce(text, '')), 1, 8))::BIGINT AS k
   FROM documents),
-most AS (SELECT greatest({LEAST_LIMIT}, (sum(n_bytes) + {SHARDS - 1}) // {SHARDS}) AS bytes FROM d),
+most AS (SELECT {LIMIT} AS bytes),
 e AS (SELECT doc_id, n_bytes, k, depth, k >> (32 - depth) AS p FROM d, range(0, 33) AS r(depth)),
 s AS (SELECT depth, p, sum(n_bytes)::BIGINT AS b, count(*) AS n FROM e GROUP BY ALL),
 f AS (SELECT e.doc_id, e.n_bytes, e.k, min(e.depth) AS depth FROM e JOIN s USING (depth, p), most

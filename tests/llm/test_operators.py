@@ -19,11 +19,11 @@ from tallyforge.llm.near_duplicates import forest, measured_recall, meeting, nea
 from tallyforge.llm.quality import POLICIES, SYMBOLS, ablation, judge, ledger
 from tallyforge.llm.queries import tokenizer_file
 from tallyforge.llm.sentencepiece_codec import Codec, Pieces, code_texts, decode_ids, encode_texts
-from tallyforge.llm.sharding import assign_shards, write_shards
+from tallyforge.llm.sharding import assign_shards, shard_rows, write_shards
 from tallyforge.llm.substring_dedup import drop_repeats
 from tallyforge.llm.suffix_dedup import mark_repeats
 from tallyforge.llm.token_counts import count_tokens
-from tallyforge.llm.toxicity import score_texts, toxicity, train
+from tallyforge.llm.toxicity import cross_validated, score_texts, toxicity, train
 from tallyforge.llm.warc_revisits import canonical, resolve_revisits
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, rid string, gram int, n_words string, count string"
@@ -134,6 +134,20 @@ def test_shards_are_written_whole(spark, tmp_path):
     assert back.groupBy("shard").agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("b")).where("b > 3000").count() == 0
 
 
+def test_rows_of_any_ids_are_sharded_whole(spark, tmp_path):
+    odd = [(1, "a " * 300, "x"), (1, "b " * 300, "y"), (None, "c " * 300, "z"), (None, None, None), (2, "d", "w"), (2, "d", "w")]
+    docs = spark.createDataFrame(odd, "doc_id long, text string, depth string")
+    shard_rows(docs, f"file://{tmp_path}/out", limit=700)
+    back = spark.read.schema("doc_id long, text string, depth string, shard string").parquet(f"file://{tmp_path}/out")
+    same(back, ["doc_id", "text", "depth"], odd)
+    assert back.groupBy("shard").agg(F.sum(F.octet_length("text")).alias("b")).where("b > 700").count() == 0
+    with pytest.raises(ValueError, match="different ids"):
+        write_shards(docs, assign_shards(docs), f"file://{tmp_path}/other")
+    with pytest.raises(ValueError, match="a byte"):
+        assign_shards(docs, limit=0)
+    shard_rows(docs.limit(0), f"file://{tmp_path}/none")
+
+
 def test_near_duplicates(docs, empty):
     sets = []
     for t in TEXTS:
@@ -360,3 +374,21 @@ def test_repeats(docs, empty, operator, length):
     assert collections.Counter((r.doc_id, hashlib.sha256(b" ".join(r.text.encode().split())).hexdigest()) for r in cut) == collections.Counter((i, h) for i, _, _, h in expected)
     assert operator(empty).count() == 0
 
+
+
+def test_toxicity_of_held_out_texts(spark):
+    from tallyforge.llm.queries import op8_toxicity
+
+    folder = "/root/testdata/sf0.01"
+    labels = spark.read.parquet(f"{folder}/labels.parquet").select("doc_id", "toxic").distinct()
+    found = op8_toxicity(spark, folder).where("held_out").join(labels, "doc_id").select("predicted", "toxic").collect()
+    hit = sum(r.predicted == r.toxic == 1 for r in found)
+    assert hit >= 0.9 * sum(r.predicted for r in found) and hit >= 0.7 * sum(r.toxic for r in found) and hit > 10
+
+
+def test_cross_validation_never_scores_a_text_by_a_model_that_saw_it():
+    rows = [(f"you are a blorf number {i} . fine words here", 1) for i in range(30)] + [(f"all is well with number {i} . fine words here", 0) for i in range(60)]
+    scores = cross_validated(rows, 5)
+    assert min(s for s, (_, y) in zip(scores, rows, strict=True) if y) > max(s for s, (_, y) in zip(scores, rows, strict=True) if not y)
+    alone = [("zig zag", 1), *[("plain talk", 0)] * 4]
+    assert cross_validated(alone, 5)[0] == 0.0  # the other folds hold no toxic text
