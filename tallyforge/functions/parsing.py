@@ -116,3 +116,19 @@ def is_finite(value: Column) -> Column:
 def from_keyed(rows: DataFrame, body: str, kind: str) -> DataFrame:
     """Rows of (key, value) of a JSON object whose keys are data; text that is no object has none."""
     return rows.select(*(c for c in rows.columns if c != body), F.explode(F.from_json(body, f"map<string,{kind}>")).alias("key", "value"))
+
+
+def spread_tiles(across: Column, down: Column, most: Column | int) -> Column:
+    """Up to ``most`` tiles of a grid: an array of (tile, x, y) at the nine quarter points, row by row.
+
+    Halves go to the even tile. Points keep off the border where a side has more than two tiles; of points that fall
+    on one tile the first stays. A grid without tiles has none.
+    """
+
+    def near(quarter: int, side: Column) -> Column:
+        edge = F.when(side > 2, 1).otherwise(0)
+        return F.least(F.greatest(edge, F.bround(quarter * side / 4, 0).cast("int")), side - 1 - edge)
+
+    points = [F.struct((y * across + x).alias("tile"), x.alias("x"), y.alias("y")) for q in (1, 2, 3) for p in (1, 2, 3) for x, y in [(near(p, across), near(q, down))]]
+    none = F.array().cast("array<struct<tile:int, x:int, y:int>>")
+    return F.when((across < 1) | (down < 1), none).otherwise(F.slice(F.array_distinct(F.array(*points)), F.lit(1), F.greatest(F.lit(0), F.lit(most) if isinstance(most, int) else most)))

@@ -166,3 +166,23 @@ def variant_counts(rows: DataFrame, key: str, value: str, wanted: str) -> DataFr
             break
     counted = rows.sparkSession.read.schema(mine.schema).parquet(f"{scratch.base}/counts").groupBy(key).agg(F.sum("n").alias("matches"))
     return rows.select(key).join(counted, key, "left").select(key, F.coalesce("matches", F.lit(0)).alias("matches"))
+
+
+def merkle_roots(leaves: DataFrame, keys: list[str], place: str, digest: str, join) -> DataFrame:
+    """keys and ``root`` of the hash tree over each block's leaves in the order of ``place``, which counts from 0.
+
+    A level is one grouping by half a place, so a block of any size is spread over the cluster and n leaves take
+    log2 n rounds. ``join`` makes a parent of two digests; the last of an odd level meets itself; a single leaf is its
+    own root. Places must count without gaps; a block without leaves has no row.
+    """
+    scratch = Scratch(leaves.sparkSession, "merkle")
+    level = leaves.select(*keys, F.col(place).cast("long").alias("_p"), F.col(digest).alias("root"))
+    level = level.join(level.groupBy(*keys).agg(F.count("*").alias("_n"), F.min("_p").alias("_low"), F.max("_p").alias("_high")), keys)
+    gaps = F.raise_error(F.lit("the places of a block must count from 0 without gaps"))
+    level = scratch.keep(level.select(*keys, "_p", F.when((F.col("_low") == 0) & (F.col("_high") == F.col("_n") - 1), F.col("_n")).otherwise(gaps).cast("long").alias("_n"), "root"), "level-0")
+    done, turn = level.where("_n = 1").select(*keys, "root"), 0
+    while (open_blocks := level.where("_n > 1")).head(1):
+        pairs = open_blocks.groupBy(*keys, F.expr("_p div 2").alias("_p"), F.expr("(_n + 1) div 2").alias("_n"))
+        level = scratch.keep(pairs.agg(join(F.min_by("root", "_p"), F.max_by("root", "_p")).alias("root")).select(*keys, "_p", "_n", "root"), f"level-{turn + 1}")
+        done, turn = done.unionByName(level.where("_n = 1").select(*keys, "root")), turn + 1
+    return done

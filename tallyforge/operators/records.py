@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tallyforge.operators.quantiles import quantiles
 from tallyforge.operators.ranks import placed
 
 
@@ -42,18 +43,19 @@ def acceptance(index: DataFrame, keys: list[str], *, min_values: int, min_bytes:
 
 
 def distribution(index: DataFrame, keys: list[str], value: str = "value_count") -> DataFrame:
-    """Percentiles by linear interpolation, mode share and extremes; all from the counts of distinct values."""
-    quantiles = [0.1, 0.25, 0.5, 0.75, 0.9]
+    """Percentiles by linear interpolation, mode share and extremes, with a bounded state for each group."""
+    shares = [0.1, 0.25, 0.5, 0.75, 0.9]
+    spread = quantiles(index, keys, [value], shares)
     counts = index.groupBy(*keys, value).agg(F.count("*").alias("_n"))
     sums = counts.groupBy(*keys).agg(
         F.sum("_n").alias("samples"),
         F.sum(F.col(value) * F.col("_n")).alias("total"),
         F.min(value).alias("low"),
         F.max(value).alias("high"),
-        F.percentile(value, F.array(*map(F.lit, quantiles)), F.col("_n")).alias("p"),
         (F.max("_n") / F.sum("_n")).alias("mode_share"),
     )
-    return sums.select(*keys, "samples", "total", "low", "high", *(F.col("p")[i].alias(f"p{int(q * 100)}") for i, q in enumerate(quantiles)), "mode_share")
+    met = sums.join(spread, keys)
+    return met.select(*keys, "samples", "total", "low", "high", *(F.col(value)[i].alias(f"p{int(q * 100)}") for i, q in enumerate(shares)), "mode_share")
 
 
 def degenerate(long: DataFrame, keys: list[str], value: str = "value", sparse: float = 0.001) -> DataFrame:
@@ -118,12 +120,13 @@ def accepted(manifest: DataFrame, index: DataFrame, *, min_values: int, min_byte
         *(F.sum(of(c, m)).alias(f"{r}_{n}") for r, m in (("primary", primary), ("auxiliary", ~primary)) for c, n in (("value_count", "values"), ("sample_bytes", "sample_bytes"))),
         F.count_if(primary).alias("primary_sample_rows"),
         F.count_if(~primary).alias("auxiliary_sample_rows"),
-        F.median(of("value_count", primary)).alias("median_primary_sample_value_count"),
-        F.median(of("sample_bytes", primary)).alias("median_primary_sample_size_bytes"),
         F.array_join(F.array_sort(F.collect_set(F.when(F.col("inferred"), F.col("series_id")))), ",").alias("inferred"),
         F.lit(True).alias("has_index"),
     )
-    numbers = [c for c in sums.columns if c not in ("dataset_id", "inferred", "has_index")]
+    middle = quantiles(index.where(primary), ["dataset_id"], ["value_count", "sample_bytes"], [0.5])
+    middle = middle.select("dataset_id", F.col("value_count")[0].alias("median_primary_sample_value_count"), F.col("sample_bytes")[0].alias("median_primary_sample_size_bytes"))
+    sums = sums.join(middle, "dataset_id", "left")
+    numbers = ["primary_values", "primary_sample_bytes", "primary_sample_rows", "median_primary_sample_value_count", "median_primary_sample_size_bytes", "auxiliary_values", "auxiliary_sample_bytes", "auxiliary_sample_rows"]
     rows = manifest.join(sums, "dataset_id", "left").fillna(0, numbers).fillna(False, ["has_index"])
     low = F.when((F.col("primary_values") < min_values) & (F.col("primary_sample_bytes") < min_bytes), "aggregate_floor")
     reasons = F.when(F.col("primary_sample_rows") == 0, "missing_primary_payload").otherwise(F.concat_ws(",", low, F.when(F.col("median_primary_sample_value_count") < min_median, "median_sample_floor")))
@@ -144,7 +147,7 @@ def state(manifest: DataFrame, index: DataFrame, *, min_values: int, min_bytes:
     keys = ["dataset_id", "series_id"]
 
     def spread(c: str, n: str) -> list[Column]:
-        return [F.min(c).alias(f"min_{n}"), F.percentile(c, F.array(*map(F.lit, shares))).alias(f"_{n}"), F.max(c).alias(f"max_{n}")]
+        return [F.min(c).alias(f"min_{n}"), F.max(c).alias(f"max_{n}")]
 
     series = index.groupBy(*keys).agg(
         F.first("role").alias("role"),
@@ -158,15 +161,18 @@ def state(manifest: DataFrame, index: DataFrame, *, min_values: int, min_bytes:
         F.min_by("path", "sample").alias("first_sample_path"),
         F.count_if("missing").alias("missing_files"),
     )
+    inner = quantiles(index, keys, ["value_count", "sample_bytes"], shares).select(*keys, F.col("value_count").alias("_values"), F.col("sample_bytes").alias("_bytes"))
     modes = index.groupBy(*keys, "sample_bytes").agg(F.count("*").alias("n")).groupBy(*keys).agg((F.max("n") / F.sum("n")).alias("same_size_fraction"))
     mine = lambda c: F.when(F.col("role") == "primary", F.col(c))
-    whole = index.groupBy("dataset_id").agg(F.sum(mine("value_count")).alias("v"), F.sum(mine("sample_bytes")).alias("b"), F.count(mine("sample_bytes")).alias("n"), F.median(mine("value_count")).alias("m"), F.bool_or("missing").alias("gone"))
+    whole = index.groupBy("dataset_id").agg(F.sum(mine("value_count")).alias("v"), F.sum(mine("sample_bytes")).alias("b"), F.count(mine("sample_bytes")).alias("n"), F.bool_or("missing").alias("gone"))
+    middle = quantiles(index.where("role = 'primary'"), ["dataset_id"], ["value_count"], [0.5]).select("dataset_id", F.col("value_count")[0].alias("m"))
+    whole = whole.join(middle, "dataset_id", "left")
     at = lambda c: F.coalesce(F.col(c), F.lit(0))
     tests = {"missing_primary_payload": F.col("n") == 0, "value_floor": at("v") < min_values, "byte_floor": at("b") < min_bytes, "median_sample_floor": at("m") < min_median, "primary_size_cap": F.col("b") > max_bytes, "missing_sample_files": F.col("gone")}
     reasons = F.concat_ws(",", *(F.when(c, k) for k, c in tests.items()))
     built = whole.select("dataset_id", reasons.alias("reasons"))
     status = F.when(F.col("reasons").isNull(), "not_built").when(F.col("reasons") == "", "ok").otherwise("needs_attention")
-    rows = manifest.join(built, "dataset_id", "left").join(series.join(modes, keys), "dataset_id", "left")
+    rows = manifest.join(built, "dataset_id", "left").join(series.join(modes, keys).join(inner, keys), "dataset_id", "left")
     flat = [F.col(f"_{n}")[i].alias(f"{p}_{n}") for n in ("values", "bytes") for i, p in enumerate(names)]
     kept = [c for c in series.columns if not c.startswith("_") and c != "dataset_id"]
     return rows.select("dataset_id", status.alias("status"), F.coalesce("reasons", F.lit("missing_sample_index")).alias("reasons"), *kept, *flat, "same_size_fraction")
@@ -178,3 +184,36 @@ def against_paths(registry: DataFrame, paths: DataFrame, key: str, status: str,
     there = F.col("_path").isNotNull()
     finding = F.when(F.col("_status").isNull(), "path_without_row").when((F.col("_status") == active) & ~there, f"{active}_without_path").when((F.col("_status") != active) & there, F.concat("_status", F.lit("_with_path")))
     return marked.select(key, finding.alias("finding")).where("finding is not null")
+
+
+def benchmark(index: DataFrame, key: str, *, min_values: int, min_bytes: int, min_median: float, max_bytes: int) -> DataFrame:
+    """A row a ``key`` with its samples' sizes, how alike they are, and reasons against them; samples without a file only count as missing.
+
+    index: key, dataset_id, value_count, sample_bytes, missing. A key none of whose samples has a file is left out.
+    """
+    there = index.where(~F.col("missing"))
+    sums = there.groupBy(key, "sample_bytes", "dataset_id").agg(F.count("*").alias("n"), F.sum("value_count").alias("v"))
+    sizes = sums.groupBy(key, "sample_bytes").agg(F.sum("n").alias("n")).groupBy(key).agg(F.count("*").alias("unique_sample_sizes"), (F.max("n") / F.sum("n")).alias("same_size_fraction"))
+    facts = sums.groupBy(key).agg(
+        F.count_distinct("dataset_id").alias("datasets"),
+        F.sum("n").alias("samples"),
+        F.sum("v").alias("total_values"),
+        F.sum(F.col("sample_bytes") * F.col("n")).alias("total_bytes"),
+        F.min("sample_bytes").alias("low"),
+        F.max("sample_bytes").alias("high"),
+    )
+    shares = {"p10": 0.1, "p25": 0.25, "p50": 0.5, "p75": 0.75, "p90": 0.9}
+    spread = quantiles(there, [key], ["sample_bytes", "value_count"], list(shares.values()))
+    gone = index.groupBy(key).agg(F.count_if("missing").alias("missing_files"))
+    rows = facts.join(sizes, key).join(spread, key).join(gone, key)
+    against = {
+        "missing_sample_files": F.col("missing_files") > 0,
+        "value_floor": F.col("total_values") < min_values,
+        "byte_floor": F.col("total_bytes") < min_bytes,
+        "median_sample_floor": F.col("value_count")[2] < min_median,
+        "primary_size_cap": F.col("total_bytes") > max_bytes,
+        "identical_sample_sizes": F.col("unique_sample_sizes") < 2,
+    }
+    reasons = F.concat_ws(",", *(F.when(test, name) for name, test in against.items()))
+    kept = [key, "datasets", "samples", "total_values", "total_bytes", "low", *(F.col("sample_bytes")[i].alias(n) for i, n in enumerate(shares)), "high", "unique_sample_sizes", "same_size_fraction", "missing_files"]
+    return rows.select(*kept, reasons.alias("reasons")).withColumn("status", F.when(F.col("reasons") == "", "ok").otherwise("needs_attention"))

@@ -11,7 +11,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyforge.operators import records as R
+from tallyforge.operators.quantiles import quantiles
 from tallyforge.registry import Tables, query
+from tallyforge.session import Scratch
 
 SAMPLES_SQL = """
 m AS (SELECT s_suppkey AS dataset_id FROM supplier),
@@ -36,10 +38,11 @@ def samples(t: Tables) -> DataFrame:
 
 
 def with_roles(t: Tables) -> DataFrame:
-    """Samples with the role that the manifest names for their series, else the one its name suggests."""
+    """Samples with the role that the manifest names for their series, else the one its name suggests; written, as reports read them several times."""
     named = t("lineitem").sparkSession.createDataFrame([("A", "primary")], "series_id string, named string")
     guess = F.when(F.col("series_id") == "N", "auxiliary").otherwise("primary")
-    return samples(t).join(F.broadcast(named), "series_id", "left").select("*", F.coalesce("named", guess).alias("role"), (F.col("named").isNull() & (guess == "auxiliary")).alias("inferred"))
+    rows = samples(t).join(F.broadcast(named), "series_id", "left").select("*", F.coalesce("named", guess).alias("role"), (F.col("named").isNull() & (guess == "auxiliary")).alias("inferred"))
+    return Scratch(rows.sparkSession, "samples").keep(rows, "index")
 
 
 @query(
@@ -94,17 +97,21 @@ def degenerate_or_broken(t: Tables) -> DataFrame:
 
 
 @query(
-    f"""WITH {SAMPLES_SQL}, w AS (SELECT *, CASE dataset_id % 3 WHEN 0 THEN 16 WHEN 1 THEN 32 ELSE 64 END AS width FROM x WHERE role = 'primary')
-    SELECT width, width = 16 AS sixteen_bit, count(DISTINCT dataset_id) AS datasets, count(*) AS samples, sum(value_count)::BIGINT AS total_values, sum(sample_bytes)::BIGINT AS total_bytes, min(sample_bytes) AS low, quantile_cont(sample_bytes, 0.1) AS p10, quantile_cont(sample_bytes, 0.5) AS p50, quantile_cont(sample_bytes, 0.9) AS p90, max(sample_bytes) AS high FROM w GROUP BY 1, 2"""
+    f"""WITH {SAMPLES_SQL}, w AS (SELECT *, CASE dataset_id % 3 WHEN 0 THEN 16 WHEN 1 THEN 32 ELSE 64 END AS width FROM x WHERE role = 'primary'),
+    c AS (SELECT width, count(*) AS unique_sample_sizes, max(n) / sum(n) AS same_size_fraction FROM (SELECT width, sample_bytes, count(*) AS n FROM w WHERE NOT missing GROUP BY ALL) GROUP BY 1),
+    g AS (SELECT width, width = 16 AS sixteen_bit, count(DISTINCT dataset_id) FILTER (NOT missing) AS datasets, count(*) FILTER (NOT missing) AS samples, sum(value_count) FILTER (NOT missing)::BIGINT AS total_values, sum(sample_bytes) FILTER (NOT missing)::BIGINT AS total_bytes,
+      min(sample_bytes) FILTER (NOT missing) AS low, quantile_cont(sample_bytes, 0.1) FILTER (NOT missing) AS p10, quantile_cont(sample_bytes, 0.25) FILTER (NOT missing) AS p25, quantile_cont(sample_bytes, 0.5) FILTER (NOT missing) AS p50, quantile_cont(sample_bytes, 0.75) FILTER (NOT missing) AS p75,
+      quantile_cont(sample_bytes, 0.9) FILTER (NOT missing) AS p90, max(sample_bytes) FILTER (NOT missing) AS high, median(value_count) FILTER (NOT missing) AS mv, count(*) FILTER (missing) AS missing_files FROM w GROUP BY 1),
+    a AS (SELECT *, concat_ws(',', CASE WHEN missing_files > 0 THEN 'missing_sample_files' END, CASE WHEN total_values < 3000 THEN 'value_floor' END, CASE WHEN total_bytes < 30000 THEN 'byte_floor' END, CASE WHEN mv < 1 THEN 'median_sample_floor' END,
+      CASE WHEN total_bytes > 200000 THEN 'primary_size_cap' END, CASE WHEN unique_sample_sizes < 2 THEN 'identical_sample_sizes' END) AS reasons FROM g JOIN c USING (width))
+    SELECT * EXCLUDE (mv), CASE WHEN reasons = '' THEN 'ok' ELSE 'needs_attention' END AS status FROM a"""
 )
 def width_benchmark(t: Tables) -> DataFrame:
-    """Sizes of the 16-bit samples, and of the other widths beside them."""
+    """Sizes of the 16-bit samples whose files exist, and of the other widths beside them, with what is to be said against them."""
     k = F.col("dataset_id") % 3
-    rows = with_roles(t).where("role = 'primary'").withColumn("width", F.when(k == 0, 16).when(k == 1, 32).otherwise(64))
-    sizes = rows.groupBy("width", "sample_bytes", "dataset_id").agg(F.count("*").alias("n"), F.sum("value_count").alias("v"))
-    spread = F.percentile("sample_bytes", F.array(F.lit(0.1), F.lit(0.5), F.lit(0.9)), F.col("n"))
-    facts = sizes.groupBy("width").agg(F.count_distinct("dataset_id").alias("datasets"), F.sum("n").alias("samples"), F.sum("v").alias("total_values"), F.sum(F.col("sample_bytes") * F.col("n")).alias("total_bytes"), F.min("sample_bytes").alias("low"), spread.alias("p"), F.max("sample_bytes").alias("high"))
-    return facts.select("width", (F.col("width") == 16).alias("sixteen_bit"), "datasets", "samples", "total_values", "total_bytes", "low", *(F.col("p")[i].alias(n) for i, n in enumerate(("p10", "p50", "p90"))), "high")
+    return R.benchmark(with_roles(t).where("role = 'primary'").withColumn("width", F.when(k == 0, 16).when(k == 1, 32).otherwise(64)), "width", min_values=3000, min_bytes=30_000, min_median=1, max_bytes=200_000).withColumn(
+        "sixteen_bit", F.col("width") == 16
+    )
 
 
 @query(
@@ -200,7 +207,7 @@ VERIFY_SQL = {
     + " UNION ALL ".join(f"SELECT '{k}' AS rule, count(*) AS rows, count(*) FILTER ({c}) AS broken FROM v" for k, c in VERIFY_SQL.items())
 )
 def verify_suite(t: Tables) -> DataFrame:
-    """Constraints over the whole index in one pass: how many rows break each."""
+    """Constraints over the whole index, which is made once and written: how many rows break each."""
     index = with_roles(t)
     ids = index.groupBy("dataset_id", "sample").agg(F.count("*").alias("n_id"))
     extents = index.groupBy("dataset_id").agg(F.min("sample_bytes").alias("low"), F.max("sample_bytes").alias("high"))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tallyforge.functions import parsing as P
 from tallyforge.operators import fixpoints as X
 from tallyforge.operators import strict
+from tallyforge.operators.quantiles import bounded_distinct
 from tallyforge.registry import Tables, query
 
 
@@ -128,8 +129,7 @@ def first_by_priority(t: Tables) -> DataFrame:
 @query("SELECT l_suppkey, least(count(DISTINCT l_partkey), 257) AS kinds, count(DISTINCT l_partkey) > 256 AS overflow FROM lineitem GROUP BY 1")
 def bounded_kinds(t: Tables) -> DataFrame:
     """Distinct values a group, counted up to 256, and whether there are more."""
-    kinds = t("lineitem").groupBy("l_suppkey", "l_partkey").agg(F.lit(1)).groupBy("l_suppkey").agg(F.count("*").alias("n"))
-    return kinds.select("l_suppkey", F.least("n", F.lit(257)).alias("kinds"), (F.col("n") > 256).alias("overflow"))
+    return bounded_distinct(t("lineitem"), ["l_suppkey"], "l_partkey").select("l_suppkey", "kinds", "overflow")
 
 
 @query(
