@@ -20,7 +20,7 @@ def lines(spark: SparkSession, path: str) -> DataFrame:
     counts = read.groupBy("path", "block").agg(F.count("*").alias("n"))
     before = counts.select("path", "block", F.coalesce(F.sum("n").over(W.partitionBy("path").orderBy("block").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("before"))
     placed = read.withColumn("line", F.row_number().over(W.partitionBy("path", "block").orderBy("at")))
-    return placed.join(before, ["path", "block"]).select("path", (F.col("line") + F.col("before")).cast("int").alias("line"), "value").where("value <> ''")
+    return placed.join(before, ["path", "block"]).select("path", (F.col("line") + F.col("before")).cast("bigint").alias("line"), "value").where("value <> ''")
 
 
 def checked_csv(spark: SparkSession, path: str, required: list[str], *, sep: str = ",") -> DataFrame:
@@ -61,23 +61,54 @@ def after_header(rows: DataFrame, token: str) -> DataFrame:
     return rows.join(head, "path").where("line > _head").drop("_head")
 
 
+#: Lines of a file that are put in order in one task.
+STRETCH = 1 << 16
+
+
+def _in_stretches(rows: DataFrame, value: Column, within, over) -> tuple[DataFrame, Column]:
+    """The rows with ``_own``, what ``value`` comes to inside a stretch of lines so far, and what it came to before the stretch.
+
+    ``within`` and ``over`` make an aggregate of a column: the first over a stretch's lines in order, the second over
+    the stretches of a file, of which there are few.
+    """
+    marked = rows.withColumn("_s", F.expr(f"line div {STRETCH}")).withColumn("_v", value)
+    w = W.partitionBy("path", "_s").orderBy("line").rowsBetween(W.unboundedPreceding, 0)
+    ends = marked.groupBy("path", "_s").agg(over("_v", "line").alias("_all"))
+    earlier = W.partitionBy("path").orderBy("_s").rowsBetween(W.unboundedPreceding, -1)
+    before = ends.select("path", "_s", within("_all").over(earlier).alias("_before"))
+    own = marked.withColumn("_own", within("_v").over(w))
+    return own.join(before, ["path", "_s"]).drop("_s", "_v"), F.col("_before")
+
+
 def inherited_headers(rows: DataFrame, is_header: Column) -> DataFrame:
-    """Data lines with the last header line above them, for files that change their header midway."""
-    w = W.partitionBy("path").orderBy("line").rowsBetween(W.unboundedPreceding, 0)
-    return rows.withColumn("header", F.last(F.when(is_header, F.col("value")), ignorenulls=True).over(w)).where(~is_header & F.col("header").isNotNull())
+    """Data lines with the last header line above them, for files that change their header midway; a large file is many tasks."""
+    header = F.when(is_header, F.col("value"))
+    last = lambda c: F.last(c, ignorenulls=True)
+    found, before = _in_stretches(rows, header, last, lambda v, at: F.max_by(v, F.when(F.col(v).isNotNull(), F.col(at))))
+    out = found.withColumn("header", F.coalesce("_own", before)).drop("_own", "_before")
+    return out.where(~is_header & F.col("header").isNotNull())
 
 
 def blocks(rows: DataFrame, starts: Column) -> DataFrame:
-    """Lines gathered to records that begin where ``starts`` holds: path, record, first line, lines in order."""
-    w = W.partitionBy("path").orderBy("line").rowsBetween(W.unboundedPreceding, 0)
-    marked = rows.withColumn("record", F.sum(F.when(starts, 1).otherwise(0)).over(w)).where("record > 0")
+    """Lines gathered to records that begin where ``starts`` holds: path, record, first line, lines in order; a large file is many tasks."""
+    found, before = _in_stretches(rows, F.when(starts, 1).otherwise(0), F.sum, lambda v, at: F.sum(v))
+    marked = found.withColumn("record", F.col("_own") + F.coalesce(before, F.lit(0))).where("record > 0")
     return marked.groupBy("path", "record").agg(F.min("line").alias("first_line"), F.array_sort(F.collect_list(F.struct("line", "value")))["value"].alias("values"))
 
 
-def multi_line(rows: DataFrame, size: int) -> DataFrame:
-    """Records of ``size`` lines each: path, record, and an array of their lines."""
-    record = F.floor((F.col("line") - 1) / size)
-    return rows.groupBy("path", record.alias("record")).agg(F.array_sort(F.collect_list(F.struct("line", "value")))["value"].alias("values")).where(F.size("values") == size)
+def multi_line(rows: DataFrame, size: int, markers: list[str] | None = None) -> DataFrame:
+    """Records of ``size`` lines each: path, record, an array of their lines, and state.
+
+    ``markers`` are what each line of a record begins with ('' for any). state is ``whole``, ``short`` where lines are missing
+    (at the end of a file, or blank ones, which readers leave out) or ``malformed`` where a line lacks its marker.
+    """
+    if markers is not None and len(markers) != size:
+        raise ValueError(f"{len(markers)} markers for {size} lines")
+    at = F.expr(f"(line - 1) div {size}"), ((F.col("line") - 1) % size).cast("int")
+    fits = F.col("value").startswith(F.element_at(F.array(*map(F.lit, markers)), at[1] + 1)) if markers else F.lit(True)
+    found = rows.groupBy("path", at[0].alias("record")).agg(F.array_sort(F.collect_list(F.struct("line", "value")))["value"].alias("values"), F.bool_and(fits).alias("_fits"))
+    state = F.when(F.size("values") < size, "short").when(~F.col("_fits"), "malformed").otherwise("whole")
+    return found.select("path", "record", "values", state.alias("state"))
 
 
 def zipped(df: DataFrame, arrays: list[str]) -> DataFrame:

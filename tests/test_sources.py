@@ -42,6 +42,32 @@ def test_headers(spark, tmp_path):
     assert rows(T.multi_line(T.lines(spark, path), 3), "record", F.size("values")) == [(0, 3), (1, 3)]
 
 
+def test_short_and_malformed_records_are_kept(spark, tmp_path):
+    path = put(tmp_path / "m.txt", "@a\nACGT\n+\nIIII\n@b\n\n+\nII\nc\nAC\n+\nII\n@d\nA\n")
+    found = T.multi_line(T.lines(spark, path), 4, ["@", "", "+", ""])
+    assert rows(found, "record", "state", F.size("values")) == [(0, "whole", 4), (1, "short", 3), (2, "malformed", 4), (3, "short", 2)]
+    with pytest.raises(ValueError, match="markers"):
+        T.multi_line(T.lines(spark, path), 4, ["@"])
+
+
+@pytest.mark.parametrize("stretch", [1, 3, 1 << 16])
+def test_stretches_make_no_difference(spark, tmp_path, monkeypatch, stretch):
+    monkeypatch.setattr("tallyforge.sources.tables.STRETCH", stretch)
+    text = ["x", *("#%d" % i if i % 5 == 2 or i > 37 else f"v{i}" for i in range(40)), "y"]
+    path = put(tmp_path / "s.txt", "\n".join(text))
+    header, want, records = None, [], []
+    for line in text:
+        if line.startswith("#"):
+            header = line
+            records.append([line])
+        elif header:
+            want.append((header, line))
+            records[-1].append(line)
+    is_header = F.col("value").startswith("#")
+    assert rows(T.inherited_headers(T.lines(spark, path), is_header), "header", "value") == sorted(want)
+    assert [r["values"] for r in T.blocks(T.lines(spark, path), is_header).orderBy("record").collect()] == records
+
+
 def test_csv(spark, tmp_path):
     path = put(tmp_path / "c.csv", "Start_Lat,b\n1.5,x\n")
     assert T.checked_csv(spark, path, ["b"]).columns == ["Start_Lat", "b"]
