@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tallyforge.operators import fixpoints as X
 from tallyforge.registry import Tables, query
+from tallyforge.sources.self_sized import frames, number
 
 LINES_SQL = """
 c AS (SELECT c_nationkey AS file, o_orderkey FROM orders JOIN customer ON c_custkey = o_custkey),
@@ -133,3 +134,18 @@ def _crawled(t: Tables) -> tuple[DataFrame, DataFrame]:
     label = F.col("page").endswith("#top")
     seed = links.where(F.col("page").startswith("http") & ~label).agg(F.min("page").alias("page"))
     return X.crawl(links, seed, prefixes=["http", "dir:"], label=label, most_pages=300, most_labels=60)
+
+
+@query(
+    """WITH RECURSIVE p AS (SELECT conv_id, turn, hex(encode(text)) AS h FROM conversations WHERE text IS NOT NULL AND text <> ''),
+    o AS (SELECT conv_id, h, coalesce(sum(len(h) // 2) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before FROM p),
+    n AS (SELECT conv_id, before + i AS place, 2 + ('0x' || substr(h, 2 * i::INT + 1, 2))::BIGINT % 32 AS size FROM (SELECT conv_id, h, before, unnest(range(0, len(h) // 2)) AS i FROM o)),
+    e AS (SELECT conv_id, max(place) AS last FROM n GROUP BY 1),
+    s AS (SELECT conv_id, place, size, 0 AS record FROM n WHERE place = 0 UNION ALL SELECT n.conv_id, n.place, n.size, s.record + 1 FROM s JOIN n ON n.conv_id = s.conv_id AND n.place = s.place + s.size)
+    SELECT conv_id, record, place, size, CASE WHEN place + size - 1 > last THEN 'truncated' ELSE 'whole' END AS state FROM s JOIN e USING (conv_id)"""
+)
+def byte_frames(t: Tables) -> DataFrame:
+    """Frames in the bytes of a conversation, each with its length in its first byte; turns are the stream's packets."""
+    packets = t("conversations").select("conv_id", "turn", F.encode("text", "UTF-8").alias("data"))
+    found = frames(packets, ["conv_id"], "turn", "data", header=1, size=lambda head: number(head) % 32 + 2)
+    return found.select("conv_id", "record", "place", "size", "state")
