@@ -217,3 +217,27 @@ def benchmark(index: DataFrame, key: str, *, min_values: int, min_bytes: int, mi
     reasons = F.concat_ws(",", *(F.when(test, name) for name, test in against.items()))
     kept = [key, "datasets", "samples", "total_values", "total_bytes", "low", *(F.col("sample_bytes")[i].alias(n) for i, n in enumerate(shares)), "high", "unique_sample_sizes", "same_size_fraction", "missing_files"]
     return rows.select(*kept, reasons.alias("reasons")).withColumn("status", F.when(F.col("reasons") == "", "ok").otherwise("needs_attention"))
+
+
+def eligibility(rows: DataFrame, keys: list[str], order: str, time: str, value: str, *, least: int) -> DataFrame:
+    """A profile of each series as one of unsigned bytes, and whether it is ``selected``.
+
+    A series is selected with ``least`` rows or more, all of whose values are whole and within 0 to 255, whose times never fall
+    in the given order (a null time is no fall, and is passed over) and which has more than one value. An empty table has no series.
+    """
+    v = F.col(value)
+    whole = F.coalesce(v == F.floor(v), F.lit(False))
+    byte = whole & v.between(0, 255)
+    before = F.last(time, ignorenulls=True).over(W.partitionBy(*keys).orderBy(order).rowsBetween(W.unboundedPreceding, -1))
+    facts = rows.withColumn("_falls", F.coalesce(F.col(time) < before, F.lit(False))).groupBy(*keys)
+    sums = facts.agg(
+        F.count("*").alias("observations"),
+        F.count(v).alias("numeric_values"),
+        F.count_if(whole).alias("integer_values"),
+        F.min(v).alias("minimum"),
+        F.max(v).alias("maximum"),
+        F.count_distinct(F.when(byte, v.cast("int"))).alias("distinct_bytes"),
+        (~F.bool_or("_falls")).alias("monotonic"),
+        F.bool_and(byte).alias("complete"),
+    )
+    return sums.withColumn("selected", (F.col("observations") >= least) & F.col("complete") & F.col("monotonic") & (F.col("distinct_bytes") > 1))

@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 from tallyforge.functions import parsing as P
 from tallyforge.operators import fixpoints as X
 from tallyforge.operators.quantiles import bounded_distinct, quantiles
+from tallyforge.operators import records as R
 from tallyforge.operators.ranks import placed
 from tallyforge.operators.rules import rules_met
+from tallyforge.operators.wordpieces import word_codes
 from tallyforge.registry import Tables, query
 
 SHARES = {"p1": 0.01, "p25": 0.25, "p50": 0.5, "p999": 0.999}
@@ -91,3 +93,50 @@ def tile_places(t: Tables) -> DataFrame:
     grids = t("part").select("p_partkey", F.col("p_size").alias("across"), (key % 50 + 1).cast("int").alias("down"), (key % 9 + 1).cast("int").alias("most"))
     tiles = P.spread_tiles(F.col("across"), F.col("down"), F.col("most"))
     return grids.select("p_partkey", F.posexplode(tiles).alias("at", "e")).select("p_partkey", "e.tile", "e.x", "e.y", (F.col("at") + 1).alias("place"))
+
+
+@query(
+    """WITH e AS (SELECT user_id, event_type, event_id, CASE WHEN event_id % 5 = 1 AND user_id % 4 = 1 THEN ts - INTERVAL 3 DAY ELSE ts END AS ts, CASE WHEN user_id % 3 = 0 AND event_id % 40 = 7 THEN NULL WHEN user_id % 3 = 1 AND event_id % 9 = 4 THEN value ELSE floor(value / 4) END AS v FROM events),
+    b AS (SELECT *, ts < lag(ts) OVER (PARTITION BY user_id, event_type ORDER BY event_id) AS falls FROM e),
+    g AS (SELECT user_id, event_type, count(*) AS observations, count(v) AS numeric_values, count(*) FILTER (v = floor(v)) AS integer_values, min(v) AS minimum, max(v) AS maximum, count(DISTINCT v::INT) FILTER (v = floor(v) AND v BETWEEN 0 AND 255) AS distinct_bytes,
+      NOT coalesce(bool_or(falls), false) AS monotonic, bool_and(coalesce(v = floor(v) AND v BETWEEN 0 AND 255, false)) AS complete FROM b GROUP BY 1, 2)
+    SELECT *, observations >= 8 AND complete AND monotonic AND distinct_bytes > 1 AS selected FROM g"""
+)
+def byte_eligibility(t: Tables) -> DataFrame:
+    """Whether each user's events of a type make a series of bytes, with all that speaks for or against it."""
+    user, event = F.col("user_id"), F.col("event_id")
+    ts = F.when((event % 5 == 1) & (user % 4 == 1), F.col("ts") - F.expr("interval 3 days")).otherwise(F.col("ts"))
+    v = F.when((user % 3 == 0) & (event % 40 == 7), None).when((user % 3 == 1) & (event % 9 == 4), F.col("value")).otherwise(F.floor(F.col("value") / 4).cast("double"))
+    return R.eligibility(t("events").select("user_id", "event_type", "event_id", ts.alias("ts"), v.alias("v")), ["user_id", "event_type"], "event_id", "ts", "v", least=8)
+
+
+@query("SELECT o_orderkey, CASE WHEN o_orderkey % 200 >= 100 THEN o_orderkey % 200 + 1900 WHEN o_orderkey % 200 >= 70 THEN o_orderkey % 200 + 1900 ELSE o_orderkey % 200 + 2000 END AS year FROM orders WHERE o_orderkey % 200 < 100 UNION ALL SELECT o_orderkey, o_orderkey % 200 + 1870 FROM orders WHERE o_orderkey % 200 >= 100")
+def two_digit_years(t: Tables) -> DataFrame:
+    """Years written with two digits, from 70 on in the last century, beside years written in full."""
+    k = F.col("o_orderkey") % 200
+    return t("orders").select("o_orderkey", P.full_year(F.when(k < 100, k).otherwise(k + 1870)).alias("year"))
+
+
+PIECES_SQL = r"""
+w AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[a-z]+')) AS word FROM documents),
+b AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[a-z]+')) AS x FROM benchmark),
+v AS (SELECT DISTINCT piece, inside FROM (SELECT substr(x, 1, n) AS piece, false AS inside FROM b, range(1, 5) AS r(n) WHERE length(x) >= n UNION ALL SELECT substr(x, length(x) - n + 1, n), true FROM b, range(1, 4) AS r(n) WHERE length(x) > n))
+"""
+
+
+@query(
+    f"""WITH RECURSIVE {PIECES_SQL},
+    g AS (SELECT word, 0 AS at_, '' AS pieces FROM w UNION ALL SELECT word, at_ + max(length(piece))::INT, any_value(pieces) || ' ' || arg_max(piece, length(piece)) FROM g JOIN v ON inside = (at_ > 0) AND starts_with(substr(word, at_ + 1), piece) WHERE at_ < length(word) GROUP BY word, at_)
+    SELECT word, coalesce(max(trim(pieces)) FILTER (at_ = length(word)), '?') AS pieces FROM g GROUP BY 1"""
+)
+def words_in_pieces(t: Tables) -> DataFrame:
+    """Every distinct word of the documents in pieces of benchmark words, the longest first; one that cannot be spelled is unknown."""
+    words = lambda name: t(name).select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), 0)).alias("word")).distinct()
+    n = F.length("word")
+    starts = F.transform(F.sequence(F.lit(1), F.least(n, F.lit(4))), lambda k: F.struct(F.substr("word", F.lit(1), k).alias("piece"), F.lit(False).alias("inside")))
+    ends = F.transform(F.filter(F.array(F.lit(1), F.lit(2), F.lit(3)), lambda k: k < n), lambda k: F.struct(F.substr("word", n - k + 1, k).alias("piece"), F.lit(True).alias("inside")))
+    pieces = words("benchmark").select(F.explode(F.concat(starts, ends)).alias("e")).select("e.piece", "e.inside").distinct()
+    vocabulary = R.dictionary(pieces.select("piece").distinct(), "piece").join(pieces, "piece").select("piece", "inside", F.col("code").alias("id"))
+    coded = word_codes(words("documents"), vocabulary).select("word", F.posexplode_outer("ids").alias("at", "id"))
+    named = coded.join(vocabulary.select("id", "piece").distinct(), "id", "left").groupBy("word").agg(F.array_sort(F.collect_list(F.struct("at", F.coalesce("piece", F.lit("?")).alias("p")))).alias("x"))
+    return named.select("word", F.array_join(F.transform("x", lambda e: e["p"]), " ").alias("pieces"))

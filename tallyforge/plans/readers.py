@@ -167,3 +167,13 @@ def arrays_of_series(t: Tables) -> DataFrame:
     named = files.select(F.regexp_extract("path", "([^/]+)/([^/.]+)[.]u8[.][0-9]+[.]bin$", 1).alias("file"), F.regexp_extract("path", "([^/]+)/([^/.]+)[.]u8", 2).alias("record"), F.hex("content").alias("h"))
     whole = named.groupBy("file").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("record", "h"))), lambda e: e["h"]), "").alias("h"))
     return whole.select(F.regexp_replace("file", "_", "#").alias("series"), (F.length("h") / 2).cast("bigint").alias("bytes"), F.sha2(F.unhex("h"), 256).alias("digest"))
+
+
+@query("SELECT event_id, user_id, row_number() OVER (ORDER BY event_id) AS place FROM events")
+def pages_in_order(t: Tables) -> DataFrame:
+    """A table dumped as page files of a hundred rows, read back in the order of pages and places."""
+    rows = t("events").select("event_id", "user_id", F.lpad((F.expr("event_id div 100")).cast("string"), 12, "0").alias("page"))
+    body = F.to_json(F.struct(F.array_sort(F.collect_list(F.struct("event_id", "user_id"))).alias("results")))
+    path = f"{Scratch(rows.sparkSession, 'files').base}/pages"
+    rows.groupBy("page").agg(body.alias("value")).repartition("page").write.partitionBy("page").text(path)
+    return T.dumped_pages(rows.sparkSession, path, "event_id: bigint, user_id: bigint").select("event_id", "user_id", "place")

@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tallyforge.operators.ranks import placed
+
 
 def lines(spark: SparkSession, path: str) -> DataFrame:
     """path, line (from 1), value of every line that is not empty.
@@ -204,3 +206,13 @@ def with_files(spark: SparkSession, index: DataFrame, path_col: str, size_col: s
     files = files.select(F.substr(name, F.length(F.regexp_replace(base, "^[a-z]+:/+", "/")) + 1).alias(path_col), "_length")
     joined = index.join(files, path_col, "left")
     return joined.select(*index.columns, F.col("_length").isNotNull().alias("exists"), (F.col("_length") == F.col(size_col)).alias("same_size"))
+
+
+def dumped_pages(spark: SparkSession, path: str, element: str, array: str = "results") -> DataFrame:
+    """The elements of an array in each of many page files: path, ord and their columns; (path, ord) is their order.
+
+    ``place`` counts them over all pages, by a sort that is spread over the cluster. Pages without the array have no elements.
+    """
+    docs = spark.read.schema(f"`{array}` array<struct<{element}>>").option("multiLine", True).json(path)
+    each = docs.select(F.col("_metadata.file_path").alias("path"), F.posexplode(array).alias("ord", "_e")).select("path", "ord", "_e.*")
+    return placed(each, ["path", "ord"], "place")

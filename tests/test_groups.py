@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 from tallyforge.functions.parsing import spread_tiles
 from tallyforge.operators.fixpoints import merkle_roots
 from tallyforge.operators.quantiles import bounded_distinct, quantiles
+from tallyforge.operators.records import eligibility
 from tallyforge.operators.rules import rules_met
+from tallyforge.operators.wordpieces import word_codes
 
 
 @pytest.mark.parametrize("gather", [20, 4096])
@@ -121,3 +123,41 @@ def test_spread_tiles(spark):
     rows = [(a, d, m) for a in range(0, 51) for d in (0, 1, 2, 3, 5, 6, 10, 50) for m in (0, 1, 4, 9, 20)]
     found = spark.createDataFrame(rows, "a int, d int, m int").select("a", "d", "m", spread_tiles(F.col("a"), F.col("d"), F.col("m")).alias("t")).collect()
     assert all([tuple(e) for e in r.t] == plain(r.a, r.d, r.m) for r in found)
+
+
+def test_word_codes(spark):
+    rnd = random.Random(12)
+    pieces = {}
+    for _ in range(40):
+        pieces.setdefault(("".join(rnd.choices("abc", k=rnd.randint(1, 4))), rnd.random() < 0.6), len(pieces) + 1)
+    words = {"".join(rnd.choices("abcd" if rnd.random() < 0.1 else "abc", k=rnd.randint(0, 9))) for _ in range(200)} | {"abc" * 40}
+
+    def code(w):
+        if len(w) > 100:
+            return [0]
+        out, at = [], 0
+        while at < len(w):
+            n = next((n for n in range(len(w) - at, 0, -1) if (w[at : at + n], at > 0) in pieces), None)
+            if n is None:
+                return [0]
+            out.append(pieces[w[at : at + n], at > 0])
+            at += n
+        return out
+
+    table = spark.createDataFrame([*((p, i, n, "x") for (p, i), n in pieces.items()), (*next(iter(pieces)), 999, "x"), ("", False, 5, "x")], "piece string, inside boolean, id int, word string")
+    df = spark.createDataFrame([(w, 1) for w in [*words, *words]] + [(None, 1)], "word string, at int")
+    got = word_codes(df, table).collect()
+    assert {r.word: r.ids for r in got} == {w: code(w) for w in words} and len(got) == len(words)
+    assert len({tuple(code(w)) for w in words}) > 60
+    assert word_codes(df.limit(0), table).count() == 0
+    assert {tuple(r.ids) for r in word_codes(df, table.limit(0)).where("word <> ''").collect()} == {(0,)}
+
+
+def test_eligibility(spark):
+    rows = [("ok", i, i, i % 3) for i in range(9)] + [("few", 1, 1, 1), ("few", 2, 2, 2)] + [("flat", i, i, 4) for i in range(9)] + [("big", i, i, 250 + i) for i in range(9)]
+    rows += [("part", i, i, i + 0.5 if i == 5 else i) for i in range(9)] + [("gap", i, i, None if i == 5 else i) for i in range(9)] + [("back", i, 0 if i == 5 else i, i) for i in range(9)] + [("nulls", i, None if i == 5 else i, i) for i in range(9)]
+    df = spark.createDataFrame([(k, i, t, None if v is None else float(v)) for k, i, t, v in rows], "k string, i int, t int, v double")
+    found = {r.k: r for r in eligibility(df, ["k"], "i", "t", "v", least=9).collect()}
+    assert {k for k, r in found.items() if r.selected} == {"ok", "nulls"}
+    assert [found[k].complete for k in ("big", "part", "gap")] == [False] * 3 and not found["back"].monotonic
+    assert (found["gap"].observations, found["gap"].numeric_values, found["big"].distinct_bytes) == (9, 8, 6)
