@@ -43,22 +43,48 @@ def words_of(text: str) -> list[bytes]:
 
 
 class Phrases:
-    """The distinct test phrases of one block of items, and the items that have each."""
+    """The distinct test phrases of one block of items, and the items that have each, in flat arrays."""
 
     def __init__(self, items: list[tuple], size: int):
         vocabulary: dict[bytes, int] = {}
-        owners: dict[tuple, set] = {}
-        for item, text in items:
-            ids = [vocabulary.setdefault(w, len(vocabulary) + 1) for w in words_of(text or "")]
-            width = min(size, len(ids))
-            for at in range(len(ids) - width + 1 if ids else 0):
-                owners.setdefault(tuple(ids[at : at + width]), set()).add(item)
-        self.vocabulary, self.owners = vocabulary, [sorted((i for i in s if i is not None), key=str) for s in owners.values()]
-        self.sizes = np.fromiter(map(len, owners), np.int64, len(owners))
-        self.words = np.zeros((len(owners), size), np.int64)
-        for row, phrase in zip(self.words, owners, strict=True):
-            row[size - len(phrase) :] = phrase  # right-aligned: searched from the last word on
-        self.shortest = int(self.sizes.min()) if len(owners) else 0
+        lots, widths, owner = [np.zeros((0, size), np.int32)], [], []
+        for number, (_, text) in enumerate(items):
+            ids = np.fromiter((vocabulary.setdefault(w, len(vocabulary) + 1) for w in words_of(text or "")), np.int32)
+            if len(ids):
+                width = min(size, len(ids))
+                rows = np.zeros((len(ids) - width + 1, size), np.int32)
+                rows[:, size - width :] = np.lib.stride_tricks.sliding_window_view(ids, width)  # right-aligned: searched from the last word on
+                lots.append(rows)
+                widths.append(np.full(len(rows), width, np.int8))
+                owner.append(np.full(len(rows), number, np.int32))
+        self.vocabulary, self.names = vocabulary, [i for i, _ in items]
+        rows, width = np.concatenate(lots), np.concatenate([np.zeros(0, np.int8), *widths])
+        del lots
+        key = np.zeros(len(rows), np.uint64)
+        for k in range(size):
+            key = (key ^ rows[:, k].astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+            key ^= key >> np.uint64(29)
+        order = np.argsort(key, kind="stable")
+        if (key[order[1:]] == key[order[:-1]]).any():  # equal keys of different phrases are told apart in full
+            order = order[np.lexsort((*(rows[order, k] for k in range(size)), key[order]))] if self._clash(rows, key, order) else order
+        new = np.ones(len(rows), bool)
+        for a in range(1, len(rows), 1 << 16):  # neighbours are compared word by word
+            b = min(len(rows), a + (1 << 16))
+            new[a:b] = (rows[order[a:b]] != rows[order[a - 1 : b - 1]]).any(axis=1)
+        self.words, self.sizes = rows[order[new]], width[order[new]].astype(np.int64)
+        pairs = np.unique((np.cumsum(new) - 1) * np.int64(max(1, len(items))) + np.concatenate([np.zeros(0, np.int32), *owner])[order])
+        phrase, self.owner = np.divmod(pairs, max(1, len(items)))
+        self.owner = self.owner.astype(np.int32)
+        self.first = np.searchsorted(phrase, np.arange(len(self.sizes) + 1))
+        self.shortest = int(self.sizes.min()) if len(self.sizes) else 0
+
+    @staticmethod
+    def _clash(rows: np.ndarray, key: np.ndarray, order: np.ndarray) -> bool:
+        same = np.flatnonzero(key[order[1:]] == key[order[:-1]])
+        return any((rows[order[same[a : a + 65536] + 1]] != rows[order[same[a : a + 65536]]]).any() for a in range(0, len(same), 1 << 16))
+
+    def items_of(self, phrase: int) -> list:
+        return [self.names[i] for i in self.owner[self.first[phrase] : self.first[phrase + 1]] if self.names[i] is not None]
 
 
 class WaveletMatrix:
@@ -199,7 +225,7 @@ def shard_hits(raw: list[str], phrases: Phrases) -> tuple[np.ndarray, list[np.nd
     doc = np.searchsorted(np.cumsum(sizes), at, "right")
     pairs = np.unique(doc * (len(phrases.sizes) + 1) + which)
     for d, p in zip(*divmod(pairs, len(phrases.sizes) + 1), strict=True):
-        met[d].update(phrases.owners[p])
+        met[d].update(phrases.items_of(p))
     return sizes, [hit[s : s + n] for s, n in zip(base, sizes, strict=True)], met
 
 

@@ -5,7 +5,7 @@
 each rule alone is to blame for, by bitwise aggregation over the stored masks.
 
 Defined results: a null text has no words and fails the base rule; repeated rows are judged
-each by itself; ties cannot occur, as nothing is ranked; no window crosses a text's end.
+each by itself; an empty table has no rows; ties cannot occur, as nothing is ranked; no window crosses a text's end.
 """
 
 from __future__ import annotations

@@ -12,7 +12,8 @@ Texts are coded in chunks that no piece can cross, remembered up to a bound: no
 word mark after another character, and the piece list tells which signs never follow a letter. A character without a piece becomes its bytes' pieces, or else the
 unknown piece.
 
-Defined results: null and empty texts have no pieces; decoding gives the text back, but for
+Defined results: null and empty texts have no pieces; an empty table has no rows, repeated rows are coded each by
+itself, and of equal ways to code a text the library's is taken (between merges of one rank the left one); decoding gives the text back, but for
 U+2581 (the word mark) which becomes a space, and for characters without bytes' pieces.
 """
 
@@ -21,7 +22,7 @@ from __future__ import annotations
 import hashlib
 import re
 import string
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 from itertools import chain
 
@@ -32,7 +33,7 @@ from pyspark.sql import functions as F
 
 from tallyforge.llm.common import pick, tune
 
-MEMO = 100_000
+MEMO, MEMO_CHARS = 100_000, 1 << 22
 MARK = "▁"
 
 
@@ -60,6 +61,41 @@ def merge(text: str, ranks: dict[str, int], least: int = 1) -> list[str]:
     return parts
 
 
+# Model types as the model files number them, and where a file holds its own.
+UNIGRAM, BPE = 1, 2
+TRAINER_FIELD, TYPE_FIELD = 2, 3
+# end of the fixed values
+
+
+def fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
+    """(number, value) of a message's fields: whole numbers, or the bytes of what has a length."""
+    at = 0
+
+    def whole() -> int:
+        nonlocal at
+        value = shift = 0
+        while True:
+            value |= (data[at] & 127) << shift
+            at, shift = at + 1, shift + 7
+            if data[at - 1] < 128:
+                return value
+
+    while at < len(data):
+        number, kind = divmod(whole(), 8)
+        if kind == 0:
+            yield number, whole()
+            continue
+        n = {1: 8, 5: 4}.get(kind) or whole()
+        at += n
+        yield number, data[at - n : at]
+
+
+def model_kind(data: bytes) -> int:
+    """The type that a model file states; files that state none are unigram models."""
+    trainer = next((v for n, v in fields(data) if n == TRAINER_FIELD), b"")
+    return next((v for n, v in fields(trainer) if n == TYPE_FIELD), UNIGRAM)
+
+
 @dataclass(frozen=True)
 class Pieces:
     """A model file's pieces: what is matched in texts, and what every id decodes to."""
@@ -74,10 +110,14 @@ class Pieces:
     halves: dict[str, tuple[str, str]]
 
     @classmethod
-    def read(cls, model_path: str, *, bpe: bool = True) -> Pieces:
+    def read(cls, model_path: str) -> Pieces:
         import sentencepiece
 
-        model = sentencepiece.SentencePieceProcessor(model_file=model_path)
+        with open(model_path, "rb") as f:
+            kind = model_kind(f.read())
+        if kind not in (UNIGRAM, BPE):
+            raise ValueError(f"{model_path} is neither a unigram nor a BPE model")
+        bpe, model = kind == BPE, sentencepiece.SentencePieceProcessor(model_file=model_path)
         ids = range(model.vocab_size())
         names = [model.id_to_piece(i) for i in ids]
         special = [model.is_control(i) or model.is_unknown(i) for i in ids]
@@ -97,7 +137,7 @@ class Codec:
     def __init__(self, pieces: Pieces):
         import ahocorasick
 
-        self.pieces, self.words, self.apart = pieces, {}, {}
+        self.pieces, self.words, self.apart, self.held = pieces, {}, {}, 0
         self.chunks = re.compile(chunk_pattern(pieces.scores))
         self.automaton = ahocorasick.Automaton()
         for name in pieces.scores:
@@ -196,12 +236,14 @@ class Codec:
     def encode(self, text: str) -> list[int]:
         if not text:
             return []
-        if len(self.words) > MEMO:
+        if len(self.words) > MEMO or self.held > MEMO_CHARS:
             self.words.clear()
+            self.held = 0
         known, words = self.words, self.chunks.findall(MARK + text.replace(" ", MARK))
         for w in words:
             if w not in known:
                 known[w] = self._ids(w)
+                self.held += len(w)
         return list(chain.from_iterable(map(known.__getitem__, words)))
 
     def decode(self, ids: list[int]) -> str:

@@ -4,7 +4,8 @@ The distinct pre-tokens of a batch lie end to end in one ragged numpy array of s
 In each round every sequence finds its lowest-ranked adjacent pair and merges it; all
 sequences do so at once, and those without a pair left are retired with their symbol count.
 
-Defined results: a null or empty text has 0 tokens; repeated rows are counted each by itself;
+Defined results: a null or empty text has 0 tokens; repeated rows are counted each by itself; an empty
+table has no rows; ids may be null or repeated; nothing is ranked, so there are no ties;
 a text of any length is read whole (memory follows one Arrow batch and its distinct pre-tokens).
 """
 
@@ -21,8 +22,8 @@ from pyspark.sql import functions as F
 
 from tallyforge.llm.common import pick, tune
 
-#: Distinct chunks a worker remembers before it starts anew.
-MEMO = 300_000
+#: Distinct chunks, and characters of chunks, that a worker remembers before it starts anew.
+MEMO, MEMO_CHARS = 300_000, 1 << 23
 #: Symbols that one round of merging works on.
 ROUND_SYMBOLS = 2_000_000
 
@@ -147,7 +148,7 @@ class Counter:
     """
 
     def __init__(self, table: MergeTable):
-        self.table, self.memo = table, {}
+        self.table, self.memo, self.held = table, {}, 0
         self.find = regex.compile(table.pattern).findall
         self.special = regex.compile("|".join(map(regex.escape, table.special))) if table.special else None
         self.odd = regex.compile("[\x1c-\x1f]")  # white space to str.split() only
@@ -165,11 +166,13 @@ class Counter:
         found = [[c] if c.isalpha() else self.find(c) for c in chunks]  # only letters: one pre-token
         words = list({w for each in found for w in each})
         count = dict(zip(words, self.table.counts([w.encode() for w in words]).tolist(), strict=True))
+        self.held += sum(map(len, chunks))
         self.memo.update((c, sum(map(count.__getitem__, each))) for c, each in zip(chunks, found, strict=True))
 
     def __call__(self, texts: list[str]) -> list[int]:
-        if len(self.memo) > MEMO:
+        if len(self.memo) > MEMO or self.held > MEMO_CHARS:
             self.memo.clear()
+            self.held = 0
         memo, split = self.memo, list(map(self.chunks, texts))
         self.learn(list({c for chunks, _ in split for c in chunks if c not in memo}))
         return [n + sum(map(memo.__getitem__, chunks)) for chunks, n in split]

@@ -392,3 +392,31 @@ def test_cross_validation_never_scores_a_text_by_a_model_that_saw_it():
     assert min(s for s, (_, y) in zip(scores, rows, strict=True) if y) > max(s for s, (_, y) in zip(scores, rows, strict=True) if not y)
     alone = [("zig zag", 1), *[("plain talk", 0)] * 4]
     assert cross_validated(alone, 5)[0] == 0.0  # the other folds hold no toxic text
+
+
+def test_phrases_of_a_block_are_small():
+    import tracemalloc
+
+    from tallyforge.llm.decontamination import Phrases
+
+    rnd = random.Random(13)
+    words = ["".join(rnd.choices("abcdefgh", k=5)) for _ in range(30_000)]
+    items = [(i, " ".join(rnd.choices(words, k=200))) for i in range(3400)]  # 4 MB
+    tracemalloc.start()
+    made = Phrases(items, 10)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(made.sizes) == 3400 * 191 and peak < 100e6
+    twice = Phrases([(1, "a b c"), (2, "c b"), (2, None), (None, "a b c"), (3, "a b c d e")], 3)
+    assert sorted(sorted(twice.items_of(p)) for p in range(len(twice.sizes))) == [[1, 3], [2], [3], [3]] and twice.shortest == 2
+
+
+def test_model_kinds(tmp_path):
+    from tallyforge.llm.sentencepiece_codec import BPE, UNIGRAM, model_kind
+
+    with open(tokenizer_file("piece_bpe_32k.model"), "rb") as f:
+        assert model_kind(f.read()) == BPE
+    assert model_kind(b"") == UNIGRAM and model_kind(b"\x12\x02\x18\x04") == 4
+    (tmp_path / "char.model").write_bytes(b"\x12\x02\x18\x04")
+    with pytest.raises(ValueError, match="neither"):
+        Pieces.read(str(tmp_path / "char.model"))
