@@ -1,7 +1,9 @@
 """A training-corpus pipeline of five operators; each stage's output is written as Parquet and read as the next one's input.
 
 Stages but the last return the columns of ``documents``; ``n_chars`` follows the text.
-A null text is an empty one from the first stage on.
+A null text is an empty one from the first stage on. Repeated rows are copies: the first of a group stays, of equal ids the first
+read; ties in similarity or score change nothing, as stages compare with thresholds; an empty table stays empty
+through all stages; columns other than those of ``documents`` are not read.
 """
 
 from __future__ import annotations
