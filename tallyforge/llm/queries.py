@@ -146,7 +146,20 @@ f AS (SELECT *, ((n_words < 50)::BIGINT + (100 * n_repeat_words > 50 * n_words):
 SELECT *, failed & 3 <> 0 AS base_failed, failed = 0 AS kept FROM f
 """
 
+#: All pairs that share a shingle, and what is reached over links; for tables of some thousand documents.
+LINKS_SQL = r"""
+WITH RECURSIVE d AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + least(5, len(w)) - 1], ' ') AS g, least(5, len(w)) AS k FROM (SELECT doc_id, w, unnest(range(1, len(w) - least(5, len(w)) + 2)) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b USING (g, k) WHERE a.doc_id <> b.doc_id GROUP BY 1, 2),
+e AS MATERIALIZED (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE c / (x.n + y.n - c) >= 0.8),
+r AS (SELECT doc_id AS root, doc_id AS node FROM documents UNION SELECT root, b FROM r JOIN e ON a = node),
+g AS (SELECT root AS doc_id, min(node) AS group_id, count(*) AS group_size FROM r GROUP BY 1)
+SELECT doc_id, group_id, coalesce(n_links, 0) AS n_links, group_size FROM g LEFT JOIN (SELECT a AS doc_id, count(*) AS n_links FROM e GROUP BY 1) USING (doc_id)
+"""
+
 ORACLES: dict[str, str] = {
+    "op4_ngram_jaccard_join": LINKS_SQL,
     "op2_benchmark_decontamination": LEAKS_SQL,
     "op3_sharding": SHARDING_SQL,
     "op5_quality_rules": QUALITY_SQL,
