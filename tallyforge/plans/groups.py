@@ -140,3 +140,13 @@ def words_in_pieces(t: Tables) -> DataFrame:
     coded = word_codes(words("documents"), vocabulary).select("word", F.posexplode_outer("ids").alias("at", "id"))
     named = coded.join(vocabulary.select("id", "piece").distinct(), "id", "left").groupBy("word").agg(F.array_sort(F.collect_list(F.struct("at", F.coalesce("piece", F.lit("?")).alias("p")))).alias("x"))
     return named.select("word", F.array_join(F.transform("x", lambda e: e["p"]), " ").alias("pieces"))
+
+
+@query(
+    """WITH r AS (SELECT user_id, month(ts) AS month, CASE WHEN event_id % 13 = 0 THEN 'blank' WHEN value < 5 THEN 'too_low' WHEN value > 90 THEN 'too_high' ELSE 'accepted' END AS reason FROM events)
+    SELECT user_id, month::INT AS month, reason, count(*) AS rows FROM r GROUP BY ALL"""
+)
+def reject_reasons_by_month(t: Tables) -> DataFrame:
+    """Why rows are rejected, counted for each source and month."""
+    reasons = {"blank": F.col("event_id") % 13 == 0, "too_low": F.col("value") < 5, "too_high": F.col("value") > 90}
+    return R.rejected(t("events"), reasons).groupBy("user_id", F.month("ts").alias("month"), "reason").agg(F.count("*").alias("rows"))

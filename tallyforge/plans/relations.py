@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tallyforge.operators import records as R
 from tallyforge.operators import sequences as S
+from tallyforge.operators.ranks import placed
 from tallyforge.registry import Tables, query
 
 
@@ -189,23 +190,27 @@ def per_group_limits(t: Tables) -> DataFrame:
     return few.where(F.col("rank") <= most).drop("rank")
 
 
-@query("SELECT n_name, row_number() OVER (ORDER BY CASE WHEN n_name LIKE '%A' THEN 0 ELSE 1 END, length(n_name), n_name)::INT AS place FROM nation")
+@query("SELECT p_partkey, row_number() OVER (ORDER BY CASE WHEN p_name LIKE '%ring' THEN 0 ELSE 1 END, length(p_name), p_name, p_partkey) AS place FROM part")
 def custom_order(t: Tables) -> DataFrame:
-    """Places in an order of one's own, over a dimension of a few rows: its unpartitioned window is for no larger table."""
-    order = [F.when(F.col("n_name").endswith("A"), 0).otherwise(1), F.length("n_name"), "n_name"]
-    return t("nation").select("n_name", F.row_number().over(W.orderBy(*order)).alias("place"))
+    """Places in an order of one's own."""
+    first = F.when(F.col("p_name").endswith("ring"), 0).otherwise(1)
+    rows = t("part").select("p_partkey", first.alias("first"), F.length("p_name").alias("n"), "p_name")
+    return placed(rows, ["first", "n", "p_name", "p_partkey"], "place").select("p_partkey", "place")
 
 
 @query(
-    """WITH p AS (SELECT DISTINCT CASE WHEN o_orderkey % 3 = 0 THEN strftime(o_orderdate, '%Y') WHEN o_orderkey % 3 = 1 THEN strftime(o_orderdate, '%Y-%m') ELSE strftime(o_orderdate, '%Y-%m-%d') END AS period FROM orders)
-    SELECT period, substr(period, 1, 4)::INT * 10000 + (CASE WHEN length(period) > 4 THEN substr(period, 6, 2)::INT ELSE 0 END) * 100 + (CASE WHEN length(period) > 7 THEN substr(period, 9, 2)::INT ELSE 0 END) AS sort_key FROM p"""
+    """WITH p AS (SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN strftime(o_orderdate, '%Y') WHEN o_orderkey % 3 = 1 THEN strftime(o_orderdate, '%Y-%m') ELSE strftime(o_orderdate, '%Y-%m-%d') END AS period FROM orders),
+    k AS (SELECT o_orderkey, period, substr(period, 1, 4)::INT * 10000 + (CASE WHEN length(period) > 4 THEN substr(period, 6, 2)::INT ELSE 0 END) * 100 + (CASE WHEN length(period) > 7 THEN substr(period, 9, 2)::INT ELSE 0 END) AS sort_key FROM p)
+    SELECT o_orderkey, period, sort_key, row_number() OVER (ORDER BY sort_key, o_orderkey) AS place FROM k"""
 )
 def mixed_period_order(t: Tables) -> DataFrame:
+    """Years, months and days in one order of time, a longer period before those inside it."""
     day, k = F.col("o_orderdate"), F.col("o_orderkey") % 3
     period = F.when(k == 0, F.date_format(day, "yyyy")).when(k == 1, F.date_format(day, "yyyy-MM")).otherwise(F.date_format(day, "yyyy-MM-dd"))
     parts = F.split("period", "-")
     at = lambda i: F.coalesce(F.get(parts, F.lit(i)).cast("int"), F.lit(0))
-    return t("orders").select(period.alias("period")).distinct().select("period", (at(0) * 10_000 + at(1) * 100 + at(2)).alias("sort_key"))
+    rows = t("orders").select("o_orderkey", period.alias("period")).withColumn("sort_key", at(0) * 10_000 + at(1) * 100 + at(2))
+    return placed(rows, ["sort_key", "o_orderkey"], "place")
 
 
 @query("SELECT event_id, json_extract_string(props, '$.page') AS page, props IS NULL OR json_extract_string(props, '$.page') IS NULL AS missing FROM events")

@@ -129,9 +129,11 @@ def observations(df: DataFrame, packed: str, schema: list[str]) -> DataFrame:
 
 
 def json_stat(df: DataFrame, dims: list[str], sizes: list[int], values: str) -> DataFrame:
-    """A statistical cube held as a map from flat index to value: one row per present cell, with its place in every dimension."""
+    """A statistical cube held as a map from flat index to value, or as a list of all values: one row per present cell, with its place in every dimension."""
     rest = [c for c in df.columns if c != values]
-    cells = df.select(*rest, F.explode(values).alias("_k", "value")).withColumn("_k", F.col("_k").cast("bigint"))
+    listed = df.schema[values].dataType.typeName() == "array"
+    cells = df.select(*rest, (F.posexplode if listed else F.explode)(values).alias("_k", "value")).withColumn("_k", F.col("_k").cast("bigint"))
+    cells = cells.where(F.col("value").isNotNull()) if listed else cells
     stride, out = 1, []
     for name, size in reversed(list(zip(dims, sizes, strict=True))):
         out.insert(0, (F.floor(F.col("_k") / stride) % size).cast("int").alias(name))

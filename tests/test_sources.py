@@ -85,6 +85,8 @@ def test_nested(spark):
     assert rows(T.observations(packed, "obs", ["y", "m", "v"]).where("m is not null"), "y", "m", "v") == [(1990, 5, 2)]
     cube = spark.createDataFrame([("u", {"0": 1.0, "5": 2.0, "99": 3.0})], "unit string, cells map<string,double>")
     assert rows(T.json_stat(cube, ["geo", "time"], [2, 3], "cells"), "geo", "time", "value") == [(0, 0, 1.0), (1, 2, 2.0)]
+    listed = spark.createDataFrame([([1.0, None, None, 0.0, None, 2.0, 9.0],)], "cells array<double>")
+    assert rows(T.json_stat(listed, ["geo", "time"], [2, 3], "cells"), "geo", "time", "value") == [(0, 0, 1.0), (1, 0, 0.0), (1, 2, 2.0)]
 
 
 def test_matrix_market(spark, tmp_path):
