@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tallyforge.operators.quantiles import quantiles
 from tallyforge.operators.ranks import placed
+from tallyforge.session import Scratch
 
 
 def unpivot(df: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
@@ -45,6 +46,7 @@ def acceptance(index: DataFrame, keys: list[str], *, min_values: int, min_bytes:
 def distribution(index: DataFrame, keys: list[str], value: str = "value_count") -> DataFrame:
     """Percentiles by linear interpolation, mode share and extremes, with a bounded state for each group."""
     shares = [0.1, 0.25, 0.5, 0.75, 0.9]
+    index = Scratch(index.sparkSession, "distribution").keep(index.select(*keys, value), "index")  # read once a round
     spread = quantiles(index, keys, [value], shares)
     counts = index.groupBy(*keys, value).agg(F.count("*").alias("_n"))
     sums = counts.groupBy(*keys).agg(
