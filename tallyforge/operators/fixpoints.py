@@ -6,54 +6,181 @@ executor costs a reread. Rounds end by counting, never by a number that is fixed
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from functools import partial
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from tallyforge.operators.ranks import placed
 from tallyforge.session import Scratch
 
+#: Places of a sequence that are followed through in one row.
+BLOCK = 1 << 16
+#: Sizes beyond this are as good as endless.
+FAR = 1 << 61
+
 
-def self_sized(rows: DataFrame, keys: list[str], place: str, size: Column) -> DataFrame:
+def self_sized(rows: DataFrame, keys: list[str], place: str, size: Column, *, block: int = BLOCK) -> DataFrame:
     """keys, place, size, record, state of the records of sequences whose records say how long they are.
 
     ``rows`` has the places of each sequence, from its first to its last, one row a place; places at which no
     record can start may be left out, other than the last. ``size`` is how many places a record takes that starts
-    at the row: null or below 1 where none can. Each record begins where the one before it ends, so starts are
-    found by pointer jumping: the first place is a start, and in each round what 2^k records further lies from
-    the starts known is added and the jumps are doubled. A sequence of n records takes log2 n rounds of two joins.
+    at the row: null or below 1 where none can. Each record begins where the one before it ends; ``followed`` says how starts are found.
 
     state: ``whole``; ``truncated`` where a record ends beyond its sequence; ``malformed`` where none can start at
     the end of the one before. The last two end their sequence. ``record`` counts from 0. A sequence with a null
     key or place is left out; repeated places of a sequence are an error; no rows, no records.
     """
-    scratch = Scratch(rows.sparkSession, "self-sized")
     own = [F.col(k).alias(k) for k in keys]
-    given = rows.where(F.col(place).isNotNull()).select(*own, F.col(place).cast("long").alias("_p"), size.cast("long").alias("_n"))
+    given = rows.where(F.col(place).isNotNull()).select(*own, F.col(place).cast("long").alias("_p"), F.coalesce(size.cast("long"), F.lit(0)).alias("_n"))
+    held = given.withColumns({"_b": block_of("_p", block), "_p": F.expr(f"pmod(_p, {block})").cast("int")})
+    return followed(held.groupBy(*keys, "_b").agg(F.collect_list("_p").alias("_p"), F.collect_list("_n").alias("_n")), keys, place, block)
+
+
+def block_of(place: str, block: int) -> Column:
+    return F.expr(f"({place} - pmod({place}, {block})) div {block}")
+
+
+def followed(blocks: DataFrame, keys: list[str], place: str, block: int) -> DataFrame:
+    """``self_sized`` of sequences that are cut into blocks of so many places already: keys, _b (the block), _p (places in it), _n (sizes).
+
+    A block is a row, and is followed through in one go. Where the chains of all its places leave it tells at which places other blocks can
+    be entered, few as chains run together; from entry to entry, starts are found by pointer jumping: the first place
+    is a start, and in each round what 2^k entries further lies from the starts known is added and the jumps are
+    doubled. Then each block is read from its entry on. A sequence of n blocks takes log2 n rounds of two joins of
+    entries; one of a single block takes none.
+    """
+    scratch = Scratch(blocks.sparkSession, "self-sized")
     for k in keys:
-        given = given.where(F.col(k).isNotNull())
-    given = scratch.keep(given, "rows")
-    ends = given.groupBy(*keys).agg(F.min("_p").alias("_first"), F.max("_p").alias("_last"))
-    sized = given.where("_n >= 1").join(ends, keys)
-    jumps = sized.select(*keys, F.col("_p").alias("_from"), F.when(F.col("_p") + F.col("_n") <= F.col("_last"), F.col("_p") + F.col("_n")).alias("_to"))
-    if given.groupBy(*keys, "_p").count().where("count > 1").head(1):
+        blocks = blocks.where(F.col(k).isNotNull())
+    blocks = blocks.select(*keys, "_b", "_p", "_n", (F.size(F.array_distinct("_p")) < F.size("_p")).alias("_again"), F.array_min("_p").alias("_low"), F.array_max("_p").alias("_high"))
+    blocks = scratch.keep(blocks, "blocks")
+    if blocks.where("_again").head(1):
         raise ValueError("a place stands more than once in its sequence")
-    jumps = scratch.keep(jumps.where("_to is not null"), "jumps-0")
+    full = F.col("_b") * block
+    ends = blocks.groupBy(*keys).agg(F.min(full + F.col("_low")).alias("_first"), F.max(full + F.col("_high")).alias("_last"), F.count("*").alias("_blocks"))
+    ends = scratch.keep(ends, "ends")
+    blocks = blocks.select(*keys, "_b", "_p", "_n")
     starts = scratch.keep(ends.select(*keys, F.col("_first").alias("_p"), F.lit(0).cast("long").alias("record")), "starts-0")
+    kinds = StructType([ends.schema[k] for k in keys])
+    if ends.where("_blocks > 1").head(1):
+        out = StructType([*kinds, StructField("_to", LongType())])
+        left = blocks.mapInArrow(partial(_exits, keys=keys, block=block), out).distinct()
+        inside = left.join(ends, keys).where("_to <= _last").select(*keys, F.col("_to").alias("_p"))
+        entries = scratch.keep(inside.unionByName(starts.select(*keys, "_p")).withColumn("_b", block_of("_p", block)), "entries")
+        met = entries.groupBy(*keys, "_b").agg(F.collect_list("_p").alias("_in")).join(blocks, [*keys, "_b"])
+        out = StructType([*kinds, StructField("_from", LongType()), StructField("_to", LongType()), StructField("_w", LongType())])
+        jumps = met.mapInArrow(partial(_crossings, keys=keys, block=block), out).join(ends, keys).where("_to <= _last").select(*keys, "_from", "_to", "_w")
+        starts = _jumped(scratch, starts, scratch.keep(jumps, "jumps-0"), keys)
+    begun = starts.join(ends.select(*keys, "_last"), keys).select(*keys, block_of("_p", block).alias("_b"), F.array("_p").alias("_in"), "record", "_last")
+    out = StructType([*kinds, StructField(place, LongType()), StructField("size", LongType()), StructField("record", LongType()), StructField("_last", LongType())])
+    known = begun.join(blocks, [*keys, "_b"], "left").mapInArrow(partial(_starts, keys=keys, block=block, names=out.names), out)
+    end = F.col(place) + F.col("size") - 1
+    state = F.when(F.col("size").isNull(), "malformed").when(end > F.col("_last"), "truncated").otherwise("whole")
+    return known.where(F.col(place) <= F.col("_last")).select(*keys, place, "size", "record", state.alias("state"))
+
+
+def _jumped(scratch: Scratch, starts: DataFrame, jumps: DataFrame, keys: list[str]) -> DataFrame:
+    """The places that jumps (_from, _to, _w records on) lead to from the starts, each with its record's number."""
     found, turn = starts.count(), 0
     while True:
-        step = 1 << turn
-        met = starts.join(jumps.withColumnRenamed("_from", "_p"), [*keys, "_p"]).select(*keys, F.col("_to").alias("_p"), (F.col("record") + step).alias("record"))
+        met = starts.join(jumps.withColumnRenamed("_from", "_p"), [*keys, "_p"]).select(*keys, F.col("_to").alias("_p"), (F.col("record") + F.col("_w")).alias("record"))
         starts = scratch.keep(starts.unionByName(met), f"starts-{turn + 1}")
         if (now := starts.count()) == found:
-            break
-        further = jumps.select(*keys, F.col("_from").alias("_to"), F.col("_to").alias("_end"))
-        jumps = scratch.keep(jumps.join(further, [*keys, "_to"]).select(*keys, "_from", F.col("_end").alias("_to")), f"jumps-{turn + 1}")
+            return starts
+        further = jumps.select(*keys, F.col("_from").alias("_to"), F.col("_to").alias("_end"), F.col("_w").alias("_more"))
+        jumps = scratch.keep(jumps.join(further, [*keys, "_to"]).select(*keys, "_from", F.col("_end").alias("_to"), (F.col("_w") + F.col("_more")).alias("_w")), f"jumps-{turn + 1}")
         for name in (f"starts-{turn}", f"jumps-{turn}"):
             scratch.drop(name)
         found, turn = now, turn + 1
-    known = starts.join(given, [*keys, "_p"], "left").join(ends, keys)
-    state = F.when(F.coalesce(F.col("_n"), F.lit(0)) < 1, "malformed").when(F.col("_p") + F.col("_n") - 1 > F.col("_last"), "truncated").otherwise("whole")
-    return known.select(*keys, F.col("_p").alias(place), F.when(F.col("_n") >= 1, F.col("_n")).alias("size"), "record", state.alias("state"))
+
+
+class _Places:
+    """The places of a batch of blocks in order, with the places that records in them or ``also`` lead to; ``next`` is a record's end, or itself where that lies beyond the block."""
+
+    def __init__(self, batch: pa.RecordBatch, block: int, also: np.ndarray | None = None):
+        lists, sizes = batch.column("_p"), batch.column("_n")
+        row = np.repeat(np.arange(batch.num_rows), pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False))
+        at = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+        n = np.minimum(sizes.flatten().to_numpy(zero_copy_only=False).astype(np.int64), FAR)
+        inside = (n >= 1) & (n < block - at)
+        named = (row * block + at + n)[inside]
+        at = row * block + at
+        order = np.argsort(at, kind="stable")
+        at, n = at[order], n[order]
+        named = named if also is None else np.concatenate([named, also])
+        found = np.minimum(np.searchsorted(at, named), max(0, len(at) - 1))
+        lost = np.unique(named[at[found] != named]) if len(at) else np.unique(named)
+        if len(lost):
+            at, n = np.concatenate([at, lost]), np.concatenate([n, np.zeros(len(lost), np.int64)])
+            order = np.argsort(at, kind="stable")
+            at, n = at[order], n[order]
+        self.row, self.at, self.n = at // block, at, n
+        self.inside = (n >= 1) & (n < block - at % block)
+        self.next = np.arange(len(at))
+        self.next[self.inside] = np.searchsorted(at, (at + n)[self.inside])
+        self.place = batch.column("_b").to_numpy(zero_copy_only=False)[self.row] * block + at % block
+
+    def last(self) -> tuple[np.ndarray, np.ndarray]:
+        """Of each place the last one of its chain inside the block, and how many records lie between."""
+        to, count = self.next, self.inside.astype(np.int64)
+        while not np.array_equal(further := to[to], to):
+            count, to = count + count[to], further
+        return to, count
+
+
+def _entered(batch: pa.RecordBatch, block: int) -> np.ndarray:
+    lists = batch.column("_in")
+    row = np.repeat(np.arange(batch.num_rows), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+    return row * block + lists.flatten().to_numpy(zero_copy_only=False) % block
+
+
+def _rows(batch: pa.RecordBatch, keys: list[str], row: np.ndarray, columns: dict[str, np.ndarray | pa.Array]) -> pa.RecordBatch:
+    own = {k: batch.column(k).take(pa.array(row)) for k in keys}
+    return pa.RecordBatch.from_pydict(own | {k: v if isinstance(v, pa.Array) else pa.array(v, pa.int64()) for k, v in columns.items()})
+
+
+def _exits(batches: Iterator[pa.RecordBatch], keys: list[str], block: int) -> Iterator[pa.RecordBatch]:
+    """Where the chains of any place leave their block."""
+    for batch in batches:
+        x = _Places(batch, block)
+        to = np.unique(x.last()[0])
+        to = to[x.n[to] >= 1]
+        yield _rows(batch, keys, x.row[to], {"_to": x.place[to] + x.n[to]})
+
+
+def _crossings(batches: Iterator[pa.RecordBatch], keys: list[str], block: int) -> Iterator[pa.RecordBatch]:
+    """From each entry of a block to where its chain leaves it, and how many records further that is."""
+    for batch in batches:
+        x = _Places(batch, block, also := _entered(batch, block))
+        at = np.searchsorted(x.at, also)
+        to, count = (v[at] for v in x.last())
+        on = x.n[to] >= 1
+        at, to, count = at[on], to[on], count[on]
+        yield _rows(batch, keys, x.row[at], {"_from": x.place[at], "_to": x.place[to] + x.n[to], "_w": count + 1})
+
+
+def _starts(batches: Iterator[pa.RecordBatch], keys: list[str], block: int, names: list[str]) -> Iterator[pa.RecordBatch]:
+    """The records of blocks, each read from its one entry on."""
+    for batch in batches:
+        x = _Places(batch, block, also := _entered(batch, block))
+        to, found, count = x.next.tolist(), [], []
+        for at in np.searchsorted(x.at, also).tolist():
+            held = len(found)
+            found.append(at)
+            while (further := to[at]) != at:
+                found.append(at := further)
+            count.append(len(found) - held)
+        at = np.array(found, np.int64)
+        nth = np.arange(len(at)) - np.repeat(np.cumsum(count) - count, count).astype(np.int64)
+        record, last = (batch.column(c).to_numpy(zero_copy_only=False)[x.row[at]] for c in ("record", "_last"))
+        columns = (x.place[at], pa.array(x.n[at], pa.int64(), mask=x.n[at] < 1), record + nth, last)
+        yield _rows(batch, keys, x.row[at], dict(zip(names[len(keys) :], columns, strict=True)))
 
 
 def subtree_sums(nodes: DataFrame, node: str, parent: str, values: dict[str, Column]) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tallyforge.operators.fixpoints import crawl, self_sized, subtree_sums, variant_counts, walk
 from tallyforge.operators.ranks import placed
 from tallyforge.operators.records import dictionary
+from tallyforge.session import Scratch
 
 
 @pytest.mark.parametrize("keys", [(), ("k",)])
@@ -185,3 +186,32 @@ def test_variant_counts(spark):
     df = spark.createDataFrame(rows, "id int, body string").select("id", F.parse_json("body").alias("body"), F.lit(1).alias("matches"))
     got = {r.id: r.matches for r in variant_counts(df, "id", "body", "m").collect()}
     assert got == {i: count(d) for i, d in enumerate(docs)} | {900: 0} and max(got.values()) > 3
+
+
+@pytest.mark.parametrize("block", [1, 4, 64, 1 << 16])
+def test_self_sized_in_blocks(spark, block):
+    rnd = random.Random(block)
+    seqs = {k: {p: rnd.choice([None, *[rnd.randint(1, m)] * 30]) for p in range(b, b + rnd.choice([1, 40, 500])) if p == b or rnd.random() < 0.98} for k, (b, m) in enumerate((b, m) for b in (0, -70, 900) for m in (1, 5, 90))}
+    rows = [(f"k{k}", p, n) for k, s in seqs.items() for p, n in s.items()]
+    found = self_sized(spark.createDataFrame(rows, "file string, line long, n long").repartition(5), ["file"], "line", F.col("n"), block=block)
+    got = collections.defaultdict(list)
+    for r in found.orderBy("file", "record").collect():
+        got[r.file].append((r.line, r.size, r.record, r.state))
+    assert got == {f"k{k}": chain(s) for k, s in seqs.items()}
+    with pytest.raises(ValueError, match="more than once"):
+        self_sized(spark.createDataFrame([("a", 1, 1), ("a", 1, 2)], "file string, line long, n long"), ["file"], "line", F.col("n"), block=block)
+
+
+def test_self_sized_joins_no_places(spark, monkeypatch):
+    kept, keep = {}, Scratch.keep
+
+    def counted(self, df, name):
+        out = keep(self, df, name)
+        kept[name] = out.count()
+        return out
+
+    monkeypatch.setattr(Scratch, "keep", counted)
+    rows = spark.range(300_000).select(F.lit("a").alias("file"), F.col("id").alias("line"), (F.col("id") % 7 + 1).alias("n"))
+    found = self_sized(rows, ["file"], "line", F.col("n"))
+    assert found.agg(F.sum("size")).first()[0] >= 300_000
+    assert max(kept.values()) < 100, "rounds run on entries of blocks, not on places"
