@@ -147,5 +147,5 @@ def _crawled(t: Tables) -> tuple[DataFrame, DataFrame]:
 def byte_frames(t: Tables) -> DataFrame:
     """Frames in the bytes of a conversation, each with its length in its first byte; turns are the stream's packets."""
     packets = t("conversations").select("conv_id", "turn", F.encode("text", "UTF-8").alias("data"))
-    found = frames(packets, ["conv_id"], "turn", "data", header=1, size=lambda head: number(head) % 32 + 2)
+    found = frames(packets, ["conv_id"], "turn", "data", header=1, size=lambda head: number(head) % 32 + 2, heads=False)
     return found.select("conv_id", "record", "place", "size", "state")

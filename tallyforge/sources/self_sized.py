@@ -1,7 +1,7 @@
 """Records whose own first bytes or lines say how long they are: frames in byte streams, epochs in observation files.
 
-Where a record begins follows from all those before it, so starts are found by pointer jumping
-(``operators.fixpoints.self_sized``) among the places at which one could begin; no file or stream has to be read from front to back.
+Where a record begins follows from all those before it, so starts are found block by block and between blocks by pointer
+jumping (``operators.fixpoints``); no file or stream has to be read from front to back.
 """
 
 from __future__ import annotations
@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tallyforge.operators.fixpoints import self_sized
+from tallyforge.operators.fixpoints import BLOCK, block_of, followed, self_sized
+from tallyforge.session import Scratch
 
 
 def number(data: Column, *, little: bool = False) -> Column:
@@ -27,12 +28,12 @@ def byte_at(data: Column, at: int, n: int) -> Column:
     return F.substring(data, at + 1, n)
 
 
-def frames(packets: DataFrame, keys: list[str], order: str, payload: str, *, header: int, size: Callable[[Column], Column]) -> DataFrame:
+def frames(packets: DataFrame, keys: list[str], order: str, payload: str, *, header: int, size: Callable[[Column], Column], heads: bool = True) -> DataFrame:
     """keys, place, size, record, state, head of the frames in streams of packets.
 
     The payloads of a key's packets, in the order of ``order``, are one stream of bytes, and frames run across packets.
     ``size`` tells from a frame's first ``header`` bytes how many bytes it has in all, or null where these bytes begin none; it
-    is asked at every byte, with the bytes of later packets at hand. ``head`` is those bytes. A stream's last row may be
+    is asked at every byte, with the bytes of later packets at hand. ``head`` is those bytes; it is left out without ``heads``. A stream's last row may be
     ``truncated`` or ``malformed``, as in ``self_sized``; fewer than ``header`` bytes at a stream's end begin no frame. Null and empty
     payloads are passed over, rows with a null key or order are left out.
     """
@@ -46,15 +47,23 @@ def frames(packets: DataFrame, keys: list[str], order: str, payload: str, *, hea
     nothing = F.lit(b"")
     begins = given.withColumn("_h", F.aggregate(some, nothing, lambda a, x: F.concat(a, x)))
     held = begins.withColumn("_all", F.concat("_d", F.coalesce(F.substring(F.lead("_h").over(ahead), 1, max(0, header - 1)), nothing)))
-    head = F.substr("_all", F.col("_i") + 1, F.lit(header))
-    each = held.select(*keys, "_at", "_all", F.explode(F.sequence(F.lit(0), F.length("_d") - 1)).alias("_i")).select(*keys, (F.col("_at") + F.col("_i")).alias("place"), head.alias("head"))
-    sized = each.withColumn("_n", F.when(F.length("head") == header, size(F.col("head"))))
-    ends = given.groupBy(*keys).agg(F.sum(F.length("_d")).alias("_all"))
-    edge = F.explode(F.array_distinct(F.array(F.lit(0).cast("bigint"), F.col("_all") - 1))).alias("place")
-    known = sized.where("_n >= 1").unionByName(ends.select(*keys, edge, F.lit(None).cast("binary").alias("head"), F.lit(None).cast("bigint").alias("_n")))
-    known = known.groupBy(*keys, "place").agg(F.max("_n").alias("_n"), F.max("head").alias("head"))
-    found = self_sized(known, keys, "place", F.col("_n"))
-    return found.join(known.select(*keys, "place", "head"), [*keys, "place"], "left").select(*keys, "place", "size", "record", "state", "head")
+    # a packet's part of each block, and the header's rest that may lie behind the part; a block's parts are one run of bytes
+    end = F.col("_at") + F.length("_d")
+    parts = held.select(*keys, "_at", "_all", end.alias("_end"), F.explode(F.sequence(block_of("_at", BLOCK), F.expr(f"(_at + length(_d) - 1) div {BLOCK}"))).alias("_b"))
+    parts = parts.withColumns({"_from": F.greatest("_at", F.col("_b") * BLOCK), "_to": F.least("_end", (F.col("_b") + 1) * BLOCK)})
+    cut = lambda a, n: F.substr("_all", (F.col(a) - F.col("_at") + 1).cast("int"), n)
+    parts = parts.select(*keys, "_b", "_from", "_to", cut("_from", (F.col("_to") - F.col("_from")).cast("int")).alias("_d"), cut("_to", F.lit(max(0, header - 1))).alias("_x"))
+    joined = parts.groupBy(*keys, "_b").agg(F.min("_from").alias("_from"), F.max("_to").alias("_to"), F.expr("listagg(_d) within group (order by _from)").alias("_d"), F.max_by("_x", "_from").alias("_x"))
+    runs = Scratch(packets.sparkSession, "frames").keep(joined.select(*keys, "_b", "_from", (F.col("_to") - F.col("_from")).cast("int").alias("_m"), F.concat("_d", "_x").alias("_d")), "runs")
+    head = lambda i: F.substr("_d", i + 1, F.lit(header))
+    sizes = F.transform(F.sequence(F.lit(0), F.col("_m") - 1), lambda i: F.coalesce(F.when(F.length(head(i)) == header, size(head(i))), F.lit(0)).cast("bigint"))
+    first = F.expr(f"_from % {BLOCK}").cast("int")
+    found = followed(runs.select(*keys, "_b", F.sequence(first, first + F.col("_m") - 1).alias("_p"), sizes.alias("_n")), keys, "place", BLOCK)
+    if not heads:
+        return found
+    marked = found.withColumn("_b", block_of("place", BLOCK)).join(runs, [*keys, "_b"], "left")
+    own = F.when(F.col("size").isNotNull(), head((F.col("place") - F.col("_from")).cast("int")))
+    return marked.select(*keys, "place", "size", "record", "state", own.alias("head"))
 
 
 def industrial_size(head: Column) -> Column:

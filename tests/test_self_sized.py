@@ -77,6 +77,28 @@ def test_frames_of_odd_tables(spark):
     assert frames(packets(spark, {}, 6).where("stream is null"), ["stream"], "seq", "data", header=1, size=one).count() == 0
 
 
+def test_frames_across_blocks(spark, monkeypatch):
+    monkeypatch.setattr("tallyforge.sources.self_sized.BLOCK", 16)
+    rnd = random.Random(7)
+    streams = {k: bytes(rnd.choices(range(m), k=rnd.choice([1, 16, 17, 700]))) for k, m in enumerate([1, 2, 40] * 4)}
+    found = frames(packets(spark, streams, 8), ["stream"], "seq", "data", header=2, size=lambda h: number(h) % 64 + 1)
+    got, want = collections.defaultdict(list), {}
+    for r in found.orderBy("stream", "record").collect():
+        got[r.stream].append((r.place, r.size, r.state, r.head and bytes(r.head)))
+    for k, data in (streams | {None: b"a"}).items():
+        at, out = 0, []
+        while at < len(data) and k is not None:
+            head = data[at : at + 2]
+            if len(head) < 2:
+                out.append((at, None, "malformed", None))
+                break
+            n = int.from_bytes(head) % 64 + 1
+            out.append((at, n, "whole" if at + n <= len(data) else "truncated", head))
+            at += n
+        want[k] = out
+    assert got == {k: v for k, v in want.items() if v}
+
+
 def plain(lines, codes):
     pos, number_of, out, states = 0, 0, [], []
     per = (len(codes) + 4) // 5
