@@ -10,19 +10,20 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tallyforge.operators.ranks import placed
+from tallyforge.session import Scratch
 
 
 def lines(spark: SparkSession, path: str) -> DataFrame:
     """path, line (from 1), value of every line that is not empty.
 
-    A large file is read in splits: lines are counted inside their split, and the counts of the
-    splits before it are added.
+    A large file is read in splits, each by one task in order: a line's place in its split follows from its row's number, and
+    the counts of the splits before it, one row a split, are added. No line is shuffled or sorted.
     """
     read = spark.read.option("lineSep", "\n").text(path).select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"), F.regexp_replace("value", "\r$", "").alias("value"))
-    counts = read.groupBy("path", "block").agg(F.count("*").alias("n"))
-    before = counts.select("path", "block", F.coalesce(F.sum("n").over(W.partitionBy("path").orderBy("block").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("before"))
-    placed = read.withColumn("line", F.row_number().over(W.partitionBy("path", "block").orderBy("at")))
-    return placed.join(before, ["path", "block"]).select("path", (F.col("line") + F.col("before")).cast("bigint").alias("line"), "value").where("value <> ''")
+    counts = read.groupBy("path", "block").agg(F.count("*").alias("n"), F.min("at").alias("first"))
+    earlier = W.partitionBy("path").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
+    before = counts.select("path", "block", (F.coalesce(F.sum("n").over(earlier), F.lit(0)) - F.col("first") + 1).alias("shift"))
+    return read.where("value <> ''").join(F.broadcast(before), ["path", "block"]).select("path", (F.col("at") + F.col("shift")).cast("bigint").alias("line"), "value")
 
 
 def checked_csv(spark: SparkSession, path: str, required: list[str], *, sep: str = ",") -> DataFrame:
@@ -63,23 +64,28 @@ def after_header(rows: DataFrame, token: str) -> DataFrame:
     return rows.join(head, "path").where("line > _head").drop("_head")
 
 
-#: Lines of a file that are put in order in one task.
-STRETCH = 1 << 16
+#: Lines of a file that are put in order together, and stretches of them that a task takes.
+STRETCH, STRETCHES = 1 << 16, 4
 
 
 def _in_stretches(rows: DataFrame, value: Column, within, over) -> tuple[DataFrame, Column]:
     """The rows with ``_own``, what ``value`` comes to inside a stretch of lines so far, and what it came to before the stretch.
 
     ``within`` and ``over`` make an aggregate of a column: the first over a stretch's lines in order, the second over
-    the stretches of a file, of which there are few.
+    the stretches of a file, of which there are few. Stretches are dealt to as many tasks as keep a task's share small
+    whatever the files' size, under a short number for their path.
     """
-    marked = rows.withColumn("_s", F.expr(f"line div {STRETCH}")).withColumn("_v", value)
-    w = W.partitionBy("path", "_s").orderBy("line").rowsBetween(W.unboundedPreceding, 0)
-    ends = marked.groupBy("path", "_s").agg(over("_v", "line").alias("_all"))
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ends = rows.withColumn("_v", value).groupBy("path", F.expr(f"line div {STRETCH}").alias("_s")).agg(over("_v", "line").alias("_all"), F.count("*").alias("_lines"))
+    ends = Scratch(rows.sparkSession, "stretches").keep(ends.withColumn("_id", F.monotonically_increasing_id()), "ends")
+    share = ends.agg(F.count("*"), F.sum("_lines")).first()
+    tasks = max(parts, -(-share[0] // STRETCHES)) if (share[1] or 0) > STRETCH * STRETCHES * parts else parts
     earlier = W.partitionBy("path").orderBy("_s").rowsBetween(W.unboundedPreceding, -1)
-    before = ends.select("path", "_s", within("_all").over(earlier).alias("_before"))
-    own = marked.withColumn("_own", within("_v").over(w))
-    return own.join(before, ["path", "_s"]).drop("_s", "_v"), F.col("_before")
+    before = ends.select("path", "_s", "_id", within("_all").over(earlier).alias("_before"))
+    named = rows.withColumn("_s", F.expr(f"line div {STRETCH}")).join(F.broadcast(before.select("path", "_s", "_id")), ["path", "_s"]).drop("path", "_s")
+    w = W.partitionBy("_id").orderBy("line").rowsBetween(W.unboundedPreceding, 0)
+    own = named.repartition(tasks, "_id").withColumn("_v", value).withColumn("_own", within("_v").over(w)).drop("_v")
+    return own.join(F.broadcast(before.drop("_s")), "_id").drop("_id"), F.col("_before")
 
 
 def inherited_headers(rows: DataFrame, is_header: Column) -> DataFrame:
