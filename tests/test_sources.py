@@ -68,6 +68,21 @@ def test_stretches_make_no_difference(spark, tmp_path, monkeypatch, stretch):
     assert [r["values"] for r in T.blocks(T.lines(spark, path), is_header).orderBy("record").collect()] == records
 
 
+def test_lines_are_numbered_where_they_are_read(spark, tmp_path):
+    path = put(tmp_path / "n.txt", "a\nb\n")
+    plan = T.lines(spark, path)._jdf.queryExecution().optimizedPlan().toString()
+    lines_side = plan[: plan.index("Aggregate")]
+    assert "rightHint=(strategy=broadcast)" in plan and "Window [row_number" not in plan, "lines are not sorted or shuffled"
+    assert lines_side.count("Join") == 1
+
+
+def test_more_stretches_are_more_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("tallyforge.sources.tables.STRETCH", 8)
+    path = put(tmp_path / "t.txt", "\n".join("#h" if i % 9 == 0 else f"v{i}" for i in range(1000)))
+    found = T.inherited_headers(T.lines(spark, path), F.col("value").startswith("#"))
+    assert found.count() == 888 and found.rdd.getNumPartitions() > 16, "a task's share stays as it is when a file grows"
+
+
 def test_csv(spark, tmp_path):
     path = put(tmp_path / "c.csv", "Start_Lat,b\n1.5,x\n")
     assert T.checked_csv(spark, path, ["b"]).columns == ["Start_Lat", "b"]
