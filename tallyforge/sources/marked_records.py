@@ -23,6 +23,8 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 COMPRESSED = (".gz", ".bz2", ".zst", ".lz4")
 #: Characters of records that go into one batch.
 BATCH_CHARS = 1 << 20
+#: Tasks that ranges are dealt to: where there are more ranges, a task reads neighbours, those of one file as one range.
+TASKS = 1024
 
 
 @dataclass
@@ -32,6 +34,13 @@ class Range(InputPartition):
     stop: int
 
 
+@dataclass
+class Ranges(InputPartition):
+    """Neighbouring ranges that one task reads."""
+
+    parts: list[Range]
+
+
 class MarkedRecords(DataSource):
     @classmethod
     def name(cls) -> str:
@@ -67,7 +76,20 @@ class RecordReader(DataSourceReader):
             if f.type == fs.FileType.File and not f.base_name.startswith(("_", ".")):
                 step = max(1, f.size) if f.base_name.endswith(COMPRESSED) else self.split
                 ranges += [Range(f.path, a, min(f.size, a + step)) for a in range(0, f.size, step)]
-        return ranges or [Range("", 0, 0)]
+        if len(ranges) <= TASKS:
+            return ranges or [Range("", 0, 0)]
+        share = -(-len(ranges) // TASKS)
+        return [Ranges(self._merged(ranges[a : a + share])) for a in range(0, len(ranges), share)]
+
+    @staticmethod
+    def _merged(ranges: list[Range]) -> list[Range]:
+        out = [ranges[0]]
+        for r in ranges[1:]:
+            if r.path == out[-1].path:
+                out[-1] = Range(r.path, out[-1].begin, r.stop)
+            else:
+                out.append(r)
+        return out
 
     @staticmethod
     def _lines(source, begin: int) -> Iterator[tuple[int, bytes]]:
@@ -105,7 +127,11 @@ class RecordReader(DataSourceReader):
             if lines:
                 yield offset, lines, state
 
-    def read(self, partition: Range) -> Iterator[pa.RecordBatch]:
+    def read(self, partition: Range | Ranges) -> Iterator[pa.RecordBatch]:
+        if isinstance(partition, Ranges):
+            for part in partition.parts:
+                yield from self.read(part)
+            return
         if not partition.path:
             return
         rows, held = [], 0

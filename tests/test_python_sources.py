@@ -167,3 +167,15 @@ def test_a_stopped_stream_goes_on_behind_its_cursor(spark, tmp_path):
     again = run(0)
     assert again[0] == first[2]  # the page that was not committed comes again
     assert taken == rows
+
+
+def test_many_ranges_are_few_tasks(tmp_path, monkeypatch):
+    monkeypatch.setattr("tallyforge.sources.marked_records.TASKS", 7)
+    want = []
+    for name in ("a", "b", "c"):
+        data = b"".join(b"ID %d\n%s" % (i, b"x\n" * (i % 4)) for i in range(90))
+        (tmp_path / name).write_bytes(data)
+        want += plain_records(data, b"ID ", None)
+    parts = (reader := RecordReader({"path": str(tmp_path), "start": "ID ", "split_bytes": "9"})).partitions()
+    assert len(parts) <= 7
+    assert [tuple(r.values())[1:] for p in parts for b in reader.read(p) for r in b.to_pylist()] == want
