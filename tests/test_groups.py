@@ -161,3 +161,13 @@ def test_eligibility(spark):
     assert {k for k, r in found.items() if r.selected} == {"ok", "nulls"}
     assert [found[k].complete for k in ("big", "part", "gap")] == [False] * 3 and not found["back"].monotonic
     assert (found["gap"].observations, found["gap"].numeric_values, found["big"].distinct_bytes) == (9, 8, 6)
+
+
+def test_conflicts_by_one_grouping(spark):
+    from tallyforge.plans.cleaning import dedupe_conflict
+
+    rows = [(1, 1, 5.0), (1, 1, 5.0), (1, 2, 5.0), (1, 2, 6.0), (1, 3, None), (1, 4, None), (1, 4, 7.0), (None, 1, 0.0), (None, 1, -0.0), (2, 1, float("nan")), (2, 1, float("nan")), (2, 2, float("nan")), (2, 2, 1.0)]
+    found = dedupe_conflict(lambda name: spark.createDataFrame(rows, "l_partkey long, l_suppkey long, l_extendedprice double"))
+    assert {(r[0], r[1]): (r[2], r[3]) for r in found.collect()} == {(1, 1): (2, False), (1, 2): (2, True), (1, 3): (1, False), (1, 4): (2, False), (None, 1): (2, False), (2, 1): (2, False), (2, 2): (2, True)}
+    plan = found._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("HashAggregate") == 2, "rows are grouped by the keys alone"
