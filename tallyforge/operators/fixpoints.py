@@ -49,6 +49,8 @@ def block_of(place: str, block: int) -> Column:
 def followed(blocks: DataFrame, keys: list[str], place: str, block: int) -> DataFrame:
     """``self_sized`` of sequences that are cut into blocks of so many places already: keys, _b (the block), _p (places in it), _n (sizes).
 
+    Instead of _p there may be _low, the first of the block's places, if none is left out behind it; sizes below 256 may be a binary, a byte each.
+    _m, where there is one, is what holds from a place on: structs with _p, by which they are in order, whose other fields come out beside each record for its first place.
     A block is a row, and is followed through in one go. Where the chains of all its places leave it tells at which places other blocks can
     be entered, few as chains run together; from entry to entry, starts are found by pointer jumping: the first place
     is a start, and in each round what 2^k entries further lies from the starts known is added and the jumps are
@@ -58,14 +60,20 @@ def followed(blocks: DataFrame, keys: list[str], place: str, block: int) -> Data
     scratch = Scratch(blocks.sparkSession, "self-sized")
     for k in keys:
         blocks = blocks.where(F.col(k).isNotNull())
-    blocks = blocks.select(*keys, "_b", "_p", "_n", (F.size(F.array_distinct("_p")) < F.size("_p")).alias("_again"), F.array_min("_p").alias("_low"), F.array_max("_p").alias("_high"))
+    marks = [f for f in blocks.schema["_m"].dataType.elementType if f.name != "_p"] if "_m" in blocks.columns else []
+    own = [*keys, "_b", "_p" if "_p" in blocks.columns else "_low", "_n", *(["_m"] if marks else [])]
+    if "_p" in own:
+        blocks = blocks.select(*own, (F.size(F.array_distinct("_p")) < F.size("_p")).alias("_again"), F.array_min("_p").alias("_low"), F.array_max("_p").alias("_high"))
+    else:
+        many = F.length("_n") if blocks.schema["_n"].dataType.typeName() == "binary" else F.size("_n")
+        blocks = blocks.select(*own, (F.col("_low") + many - 1).alias("_high"))
     blocks = scratch.keep(blocks, "blocks")
-    if blocks.where("_again").head(1):
+    if "_p" in own and blocks.where("_again").head(1):
         raise ValueError("a place stands more than once in its sequence")
     full = F.col("_b") * block
     ends = blocks.groupBy(*keys).agg(F.min(full + F.col("_low")).alias("_first"), F.max(full + F.col("_high")).alias("_last"), F.count("*").alias("_blocks"))
     ends = scratch.keep(ends, "ends")
-    blocks = blocks.select(*keys, "_b", "_p", "_n")
+    blocks = blocks.select(*own)
     starts = scratch.keep(ends.select(*keys, F.col("_first").alias("_p"), F.lit(0).cast("long").alias("record")), "starts-0")
     kinds = StructType([ends.schema[k] for k in keys])
     if ends.where("_blocks > 1").head(1):
@@ -78,11 +86,11 @@ def followed(blocks: DataFrame, keys: list[str], place: str, block: int) -> Data
         jumps = met.mapInArrow(partial(_crossings, keys=keys, block=block), out).join(ends, keys).where("_to <= _last").select(*keys, "_from", "_to", "_w")
         starts = _jumped(scratch, starts, scratch.keep(jumps, "jumps-0"), keys)
     begun = starts.join(ends.select(*keys, "_last"), keys).select(*keys, block_of("_p", block).alias("_b"), F.array("_p").alias("_in"), "record", "_last")
-    out = StructType([*kinds, StructField(place, LongType()), StructField("size", LongType()), StructField("record", LongType()), StructField("_last", LongType())])
+    out = StructType([*kinds, StructField(place, LongType()), StructField("size", LongType()), StructField("record", LongType()), StructField("_last", LongType()), *marks])
     known = begun.join(blocks, [*keys, "_b"], "left").mapInArrow(partial(_starts, keys=keys, block=block, names=out.names), out)
     end = F.col(place) + F.col("size") - 1
     state = F.when(F.col("size").isNull(), "malformed").when(end > F.col("_last"), "truncated").otherwise("whole")
-    return known.where(F.col(place) <= F.col("_last")).select(*keys, place, "size", "record", state.alias("state"))
+    return known.where(F.col(place) <= F.col("_last")).select(*keys, place, "size", "record", state.alias("state"), *(f.name for f in marks))
 
 
 def _jumped(scratch: Scratch, starts: DataFrame, jumps: DataFrame, keys: list[str]) -> DataFrame:
@@ -104,10 +112,17 @@ class _Places:
     """The places of a batch of blocks in order, with the places that records in them or ``also`` lead to; ``next`` is a record's end, or itself where that lies beyond the block."""
 
     def __init__(self, batch: pa.RecordBatch, block: int, also: np.ndarray | None = None):
-        lists, sizes = batch.column("_p"), batch.column("_n")
-        row = np.repeat(np.arange(batch.num_rows), pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False))
-        at = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-        n = np.minimum(sizes.flatten().to_numpy(zero_copy_only=False).astype(np.int64), FAR)
+        sizes = batch.column("_n")
+        packed = pa.types.is_binary(sizes.type) or pa.types.is_large_binary(sizes.type)
+        many = pc.fill_null((pc.binary_length if packed else pc.list_value_length)(sizes), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        row = np.repeat(np.arange(batch.num_rows), many)
+        if "_p" in batch.schema.names:
+            at = batch.column("_p").flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+        else:
+            low = pc.fill_null(batch.column("_low"), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+            at = np.arange(len(row)) + np.repeat(low - np.cumsum(many) + many, many)
+        flat = np.frombuffer(b"".join(sizes.drop_null().to_pylist()), np.uint8) if packed else sizes.flatten().to_numpy(zero_copy_only=False)
+        n = np.minimum(flat.astype(np.int64), FAR)
         inside = (n >= 1) & (n < block - at)
         named = (row * block + at + n)[inside]
         at = row * block + at
@@ -165,6 +180,18 @@ def _crossings(batches: Iterator[pa.RecordBatch], keys: list[str], block: int) -
         yield _rows(batch, keys, x.row[at], {"_from": x.place[at], "_to": x.place[to] + x.n[to], "_w": count + 1})
 
 
+def _marked(batch: pa.RecordBatch, block: int, row: np.ndarray, at: np.ndarray) -> list[pa.Array]:
+    """What holds at places of a batch's blocks by their _m; null in blocks that have none."""
+    if "_m" not in batch.schema.names:
+        return []
+    lists = batch.column("_m")
+    own, held = np.repeat(np.arange(batch.num_rows), pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)), lists.flatten()
+    nth = np.searchsorted(own * block + held.field("_p").to_numpy(zero_copy_only=False).astype(np.int64), at, side="right") - 1
+    none = nth < 0
+    none[~none] = own[nth[~none]] != row[~none]
+    return [held.field(f.name).take(pa.array(nth, mask=none)) for f in held.type if f.name != "_p"]
+
+
 def _starts(batches: Iterator[pa.RecordBatch], keys: list[str], block: int, names: list[str]) -> Iterator[pa.RecordBatch]:
     """The records of blocks, each read from its one entry on."""
     for batch in batches:
@@ -179,7 +206,7 @@ def _starts(batches: Iterator[pa.RecordBatch], keys: list[str], block: int, name
         at = np.array(found, np.int64)
         nth = np.arange(len(at)) - np.repeat(np.cumsum(count) - count, count).astype(np.int64)
         record, last = (batch.column(c).to_numpy(zero_copy_only=False)[x.row[at]] for c in ("record", "_last"))
-        columns = (x.place[at], pa.array(x.n[at], pa.int64(), mask=x.n[at] < 1), record + nth, last)
+        columns = (x.place[at], pa.array(x.n[at], pa.int64(), mask=x.n[at] < 1), record + nth, last, *_marked(batch, block, x.row[at], x.at[at]))
         yield _rows(batch, keys, x.row[at], dict(zip(names[len(keys) :], columns, strict=True)))
 
 

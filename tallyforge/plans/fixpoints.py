@@ -56,14 +56,26 @@ def self_sized_lines(t: Tables) -> DataFrame:
 def chained_frames(t: Tables) -> DataFrame:
     """Frames in the words of a conversation, each frame's first word stating its length, across the borders of turns as a stream's frames run across packets."""
     words = F.filter(F.split("text", "[ \\x09-\\x0D]+"), lambda w: w != "")
-    turns = t("conversations").where("text is not null").select("conv_id", "turn", words.alias("w"))
-    before = F.coalesce(F.sum(F.size("w")).over(W.partitionBy("conv_id").orderBy("turn").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    each = turns.withColumn("before", before).select("conv_id", "turn", "before", F.posexplode("w").alias("at", "word"))
-    places = each.select("conv_id", "turn", (F.col("before") + F.col("at")).alias("place"), (F.length("word") % 7 + 1).alias("n"))
-    found = X.self_sized(places, ["conv_id"], "place", F.col("n"))
-    covered = found.select("conv_id", "record", F.explode(F.sequence(F.col("place"), F.col("place") + F.col("size") - 1)).alias("place"))
-    turns = covered.join(places.select("conv_id", "place", "turn"), ["conv_id", "place"]).groupBy("conv_id", "record").agg(F.min("turn").alias("turn"), (F.max("turn") > F.min("turn")).alias("crosses"))
-    return found.join(turns, ["conv_id", "record"]).select("conv_id", "record", "place", "size", "state", "turn", "crosses")
+    sizes = F.array_join(F.transform(words, lambda w: F.char(F.length(w) % 7 + 1)), "")
+    return word_frames(t("conversations").where("text is not null").select("conv_id", "turn", F.encode(sizes, "UTF-8").alias("sizes")))
+
+
+def word_frames(turns: DataFrame, block: int = X.BLOCK) -> DataFrame:
+    """conv_id, record, place, size, state, turn, crosses from each turn's ``sizes``, a byte for each of its words; no row a word is made."""
+    n = F.length("sizes")
+    w = W.partitionBy("conv_id").orderBy(F.asc_nulls_last("turn"))
+    given = turns.where(n > 0).withColumn("_at", F.coalesce(F.sum(n).over(w.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
+    given = given.withColumn("_end", F.sum(n).over(w.rangeBetween(W.unboundedPreceding, 0)))
+    more = F.col("_end") < F.max(F.when(F.col("turn").isNotNull(), F.col("_end"))).over(W.partitionBy("conv_id"))
+    given = given.withColumn("_end", F.when(more, F.col("_end")))
+    parts = given.select("*", F.explode(F.sequence(X.block_of("_at", block), F.expr(f"(_at + length(sizes) - 1) div {block}"))).alias("_b"))
+    parts = parts.withColumns({"_from": F.greatest("_at", F.col("_b") * block), "_to": F.least(F.col("_at") + n, (F.col("_b") + 1) * block)})
+    parts = parts.withColumn("_d", F.substr("sizes", (F.col("_from") - F.col("_at") + 1).cast("int"), (F.col("_to") - F.col("_from")).cast("int")))
+    first = F.expr(f"_from % {block}").cast("int")
+    marks = F.array_sort(F.collect_list(F.struct(first.alias("_p"), "turn", "_end")))
+    blocks = parts.groupBy("conv_id", "_b").agg(F.min(first).alias("_low"), F.expr("listagg(_d) within group (order by _from)").alias("_n"), marks.alias("_m"))
+    found = X.followed(blocks, ["conv_id"], "place", block)
+    return found.select("conv_id", "record", "place", "size", "state", "turn", F.coalesce(F.col("place") + F.col("size") > F.col("_end"), F.lit(False)).alias("crosses"))
 
 
 @query(

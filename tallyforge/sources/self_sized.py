@@ -58,7 +58,7 @@ def frames(packets: DataFrame, keys: list[str], order: str, payload: str, *, hea
     head = lambda i: F.substr("_d", i + 1, F.lit(header))
     sizes = F.transform(F.sequence(F.lit(0), F.col("_m") - 1), lambda i: F.coalesce(F.when(F.length(head(i)) == header, size(head(i))), F.lit(0)).cast("bigint"))
     first = F.expr(f"_from % {BLOCK}").cast("int")
-    found = followed(runs.select(*keys, "_b", F.sequence(first, first + F.col("_m") - 1).alias("_p"), sizes.alias("_n")), keys, "place", BLOCK)
+    found = followed(runs.select(*keys, "_b", first.alias("_low"), sizes.alias("_n")), keys, "place", BLOCK)
     if not heads:
         return found
     marked = found.withColumn("_b", block_of("place", BLOCK)).join(runs, [*keys, "_b"], "left")

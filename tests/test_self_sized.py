@@ -7,7 +7,10 @@ import struct
 import pytest
 from pyspark.sql import functions as F
 
+from tallyforge.plans.fixpoints import word_frames
+from tallyforge.queries import QUERIES
 from tallyforge.sources.self_sized import byte_at, datagram_size, epochs, frames, industrial_size, number, observations
+from tests.test_queries import SF
 
 
 def cut(rnd, data):
@@ -159,3 +162,30 @@ def test_epochs(spark, n_codes):
     for r in observations(table, codes).collect():
         values[r.path].append((r.record, r.satellite, r.code, r.value))
     assert {p: sorted(v) for p, v in values.items()} == {p: sorted(v) for p, own in files.items() if (v := plain(own, codes)[0])}
+
+
+def word_frames_by_hand(turns):
+    out = []
+    for conv in sorted({c for c, _, s in turns if s}):
+        words = [(t, n) for c, t, s in sorted(turns, key=lambda r: (r[1] is None, r[1] or 0)) if c == conv and s for n in s]
+        place = record = 0
+        while place < len(words):
+            turn, n = words[place]
+            met = {t for t, _ in words[place : place + n]} - {None}
+            out.append((conv, record, place, n, "truncated" if place + n > len(words) else "whole", turn, len(met) > 1))
+            place, record = place + n, record + 1
+    return out
+
+
+@pytest.mark.parametrize("block", [3, 8, 1 << 16])
+def test_word_frames(spark, block):
+    r = random.Random(5)
+    turns = [(c, t, bytes(r.randint(1, 7) for _ in range(r.choice([0, 1, 2, 9, 40])))) for c in range(12) for t in range(c)]
+    turns += [(20, 1, b""), (20, 2, None), (21, 1, bytes([1, 2])), (21, 1, bytes([1, 2])), (21, 2, bytes([1, 7])), (21, None, bytes([3]))]
+    got = word_frames(spark.createDataFrame(turns, "conv_id long, turn int, sizes binary"), block)
+    assert sorted(tuple(x) for x in got.select("conv_id", "record", "place", "size", "state", "turn", "crosses").collect()) == word_frames_by_hand(turns)
+
+
+def test_chained_frames_make_no_row_a_word(spark):
+    df = QUERIES["chained_frames"](spark, SF)
+    assert "explode" not in df._jdf.queryExecution().toString()
