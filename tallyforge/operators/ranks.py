@@ -27,9 +27,15 @@ def placed(df: DataFrame, order: list[str], name: str, *, keys: tuple[str, ...]
     spark = df.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     by = [F.col(f"`{c}`").asc_nulls_first() for c in (*keys, *order)]
-    at = F.monotonically_increasing_id()
-    ranged = df.repartitionByRange(parts, *by).sortWithinPartitions(*by).withColumn("_at", at)
-    ranged = (scratch or Scratch(spark, "places")).keep(ranged, f"places-{name}").withColumn("_part", F.shiftright("_at", ROW_BITS))
+    return numbered(df.repartitionByRange(parts, *by).sortWithinPartitions(*by), name, keys=keys, scratch=scratch)
+
+
+def numbered(df: DataFrame, name: str, *, keys: tuple[str, ...] = (), scratch: Scratch | None = None) -> DataFrame:
+    """``placed`` of rows whose partitions follow one another in order already, and are in order inside."""
+    if {name, "_at", "_part"} & set(df.columns):
+        raise ValueError(f"the table has a column {name}, _at or _part already")
+    ranged = df.withColumn("_at", F.monotonically_increasing_id())
+    ranged = (scratch or Scratch(df.sparkSession, "places")).keep(ranged, f"places-{name}").withColumn("_part", F.shiftright("_at", ROW_BITS))
     held = ranged.groupBy("_part", *keys).agg(F.count("*").alias("_n"), F.min("_at").alias("_first"))
     earlier = W.partitionBy(*keys).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)  # a row a partition and group
     before = held.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))

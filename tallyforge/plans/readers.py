@@ -10,7 +10,7 @@ from tallyforge.operators.records import shards
 from tallyforge.registry import Tables, query
 from tallyforge.session import Scratch
 from tallyforge.sources import tables as T
-from tallyforge.sources.array_files import ArrayFiles
+from tallyforge.sources.array_files import ArrayFiles, TextFiles
 from tallyforge.sources.marked_records import MarkedRecords
 
 
@@ -171,9 +171,13 @@ def arrays_of_series(t: Tables) -> DataFrame:
 
 @query("SELECT event_id, user_id, row_number() OVER (ORDER BY event_id) AS place FROM events")
 def pages_in_order(t: Tables) -> DataFrame:
-    """A table dumped as page files of a hundred rows, read back in the order of pages and places."""
-    rows = t("events").select("event_id", "user_id", F.lpad((F.expr("event_id div 100")).cast("string"), 12, "0").alias("page"))
+    """A table dumped as page files of a hundred rows, on shelves of 250 pages, read back in the order of pages and places."""
+    spark, page = t("events").sparkSession, F.expr("event_id div 100")
+    named = lambda c, prefix="": F.concat(F.lit(prefix), F.coalesce(F.lpad(c.cast("string"), 17, "0"), F.lit("none")))
+    rows = t("events").select("event_id", "user_id", named(page).alias("record"), named(F.expr("event_id div 25000"), "shelf=").alias("series"))
     body = F.to_json(F.struct(F.array_sort(F.collect_list(F.struct("event_id", "user_id"))).alias("results")))
-    path = f"{Scratch(rows.sparkSession, 'files').base}/pages"
-    rows.groupBy("page").agg(body.alias("value")).repartition("page").write.partitionBy("page").text(path)
-    return T.dumped_pages(rows.sparkSession, path, "event_id: bigint, user_id: bigint").select("event_id", "user_id", "place")
+    pages = rows.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "series").groupBy("series", "record").agg(body.alias("value"))
+    path = f"{Scratch(spark, 'files').base}/pages"
+    spark.dataSource.register(TextFiles)
+    pages.write.format("text_files").option("path", path).mode("append").save()
+    return T.dumped_pages(spark, path, "event_id: bigint, user_id: bigint").select("event_id", "user_id", "place")

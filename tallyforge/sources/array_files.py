@@ -8,6 +8,8 @@ bytes, little end first, and is called ``<series>/<record>.<kind><bits>.<count>.
 ``unsigned`` whole numbers are written without sign. Series and record must be plain names; a null anywhere or a number that
 does not fit is an error. Tasks write to a folder of the job; the driver moves the files of the tasks that were
 committed into place, so attempts that fail or run twice leave nothing. ``overwrite`` clears the folder first.
+
+``text_files`` writes texts in the same way: of the columns series, record and value a file ``<series>/<record>`` holds the value.
 """
 
 from __future__ import annotations
@@ -76,6 +78,11 @@ class ArrayWriter(DataSourceArrowWriter):
             raise ValueError("a number below zero has no unsigned form")
         return out.tobytes()
 
+    def _file(self, record: str, value: pa.Scalar) -> tuple[str, bytes]:
+        """The name and the contents of a record's file."""
+        data = value.values
+        return f"{record}.{self.kind}{self.bits}.{len(data)}.bin", self._bytes(data)
+
     def write(self, iterator: Iterator[pa.RecordBatch]) -> WriterCommitMessage:
         store, root = self._at()
         folder, files, made = f"{root}/{self.job}/{uuid.uuid4().hex}", [], set()
@@ -87,15 +94,15 @@ class ArrayWriter(DataSourceArrowWriter):
                     own = [series[i].as_py(), records[i].as_py()]
                     if not all(isinstance(n, str) and NAME.fullmatch(n) for n in own) or not values[i].is_valid:
                         raise ValueError(f"no file can be written for {own}")
-                    data = values[i].values
-                    name = f"{own[0]}/{own[1]}.{self.kind}{self.bits}.{len(data)}.bin"
+                    name, data = self._file(own[1], values[i])
+                    name = f"{own[0]}/{name}"
                     if own[0] not in made:
                         store.create_dir(f"{folder}/{own[0]}", recursive=False)
                         made.add(own[0])
                     if store.get_file_info(f"{folder}/{name}").type != fs.FileType.NotFound:
                         raise ValueError(f"two records are called {name}")
                     with store.open_output_stream(f"{folder}/{name}", compression=None) as out:
-                        out.write(self._bytes(data))
+                        out.write(data)
                     files.append(name)
         except BaseException:
             self._clear(store, folder)
@@ -138,3 +145,21 @@ class ArrayWriter(DataSourceArrowWriter):
     def abort(self, messages: list[WriterCommitMessage | None]) -> None:
         store, root = self._at()
         self._clear(store, f"{root}/{self.job}")
+
+
+class TextFiles(DataSource):
+    @classmethod
+    def name(cls) -> str:
+        return "text_files"
+
+    def writer(self, schema: T.StructType, overwrite: bool) -> DataSourceArrowWriter:
+        if schema.names != ["series", "record", "value"] or not isinstance(schema["value"].dataType, T.StringType):
+            raise ValueError("the columns must be series, record and value, a string")
+        made = TextWriter(self.options["path"], overwrite, "", 0)
+        made.begin()
+        return made
+
+
+class TextWriter(ArrayWriter):
+    def _file(self, record: str, value: pa.Scalar) -> tuple[str, bytes]:
+        return record, value.as_py().encode()

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tallyforge.operators.ranks import placed
+from tallyforge.operators.ranks import numbered
 from tallyforge.session import Scratch
 
 
@@ -219,8 +219,11 @@ def with_files(spark: SparkSession, index: DataFrame, path_col: str, size_col: s
 def dumped_pages(spark: SparkSession, path: str, element: str, array: str = "results") -> DataFrame:
     """The elements of an array in each of many page files: path, ord and their columns; (path, ord) is their order.
 
-    ``place`` counts them over all pages, by a sort that is spread over the cluster. Pages without the array have no elements.
+    ``place`` counts them over all pages, by a sort of pages that is spread over the cluster; each file is opened once. Pages without
+    the array have no elements; a file with several documents is as many pages, in no stated order.
     """
     docs = spark.read.schema(f"`{array}` array<struct<{element}>>").option("multiLine", True).json(path)
-    each = docs.select(F.col("_metadata.file_path").alias("path"), F.posexplode(array).alias("ord", "_e")).select("path", "ord", "_e.*")
-    return placed(each, ["path", "ord"], "place")
+    scratch, parts = Scratch(spark, "pages"), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    read = scratch.keep(docs.select(F.col("_metadata.file_path").alias("path"), F.col(f"`{array}`").alias("_a")).where(F.size("_a") > 0), "read")
+    each = read.repartitionByRange(parts, "path").sortWithinPartitions("path").select("path", F.posexplode("_a").alias("ord", "_e")).select("path", "ord", "_e.*")
+    return numbered(each, "place", scratch=scratch)

@@ -1,6 +1,7 @@
 """Readers, decoders and writers on tiny files, damaged ones included."""
 
 import io
+import json
 import struct
 import zipfile
 
@@ -258,3 +259,27 @@ def test_dictionary_capacity(spark):
     assert rows(dictionary(df, "v", "o", capacity=2), "v", "code") == [("a", 2), ("b", 1)]
     with pytest.raises(Exception, match="more than 1 values"):
         dictionary(df, "v", capacity=1).collect()
+
+
+def test_dumped_pages_on_shelves(spark, tmp_path, monkeypatch):
+    from tallyforge.plans import readers
+
+    class Here:
+        def __init__(self, *_):
+            self.base = f"file://{tmp_path}/files"
+
+    monkeypatch.setattr(readers, "Scratch", Here)
+    ids = [*range(0, 60_000, 50), 24_999, 25_000, None]
+    events = spark.createDataFrame([(i, 7) for i in ids], "event_id long, user_id long")
+    got = readers.pages_in_order(lambda _: events).orderBy("place").collect()
+    assert [r.event_id for r in got] == [*sorted(i for i in ids if i is not None), None]
+    assert [r.place for r in got] == list(range(1, len(ids) + 1))
+    pages = [f for f in (tmp_path / "files/pages").rglob("*") if f.is_file()]
+    assert len(pages) == 601 and len({f.parent for f in pages}) == 4
+
+
+def test_dumped_pages_of_uneven_sizes(spark, tmp_path):
+    for k, n in enumerate([3, 0, 1, 12, None, 2]):
+        (tmp_path / f"p{k}.json").write_text("{}" if n is None else json.dumps({"results": [{"v": 100 * k + i} for i in range(n)]}, indent=1))
+    got = T.dumped_pages(spark, str(tmp_path), "v: bigint").orderBy("place").collect()
+    assert [(r.place, r.v, r.ord) for r in got] == [(p + 1, 100 * k + i, i) for p, (k, i) in enumerate((k, i) for k, n in enumerate([3, 0, 1, 12, 0, 2]) for i in range(n))]
