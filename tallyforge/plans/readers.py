@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tallyforge.operators import strict
@@ -14,10 +15,10 @@ from tallyforge.sources.array_files import ArrayFiles, TextFiles
 from tallyforge.sources.marked_records import MarkedRecords
 
 
-def written(rows: DataFrame, keys: list[str], order: list[str], line: Column, name: str) -> str:
-    """The folder of text files that hold the rows' lines; rows of one key lie in one file, in order."""
+def written(rows: DataFrame, keys: list[str], order: list[str], line: Column, name: str, *, dealt: bool = False) -> str:
+    """The folder of text files that hold the rows' lines; rows of one key lie in one file, in order. ``dealt``: they lie in one partition already."""
     path = f"{Scratch(rows.sparkSession, 'files').base}/{name}"
-    rows.repartition(*keys).sortWithinPartitions(*keys, *order).select(line.alias("value")).write.text(path)
+    (rows if dealt else rows.repartition(*keys)).sortWithinPartitions(*keys, *order).select(line.alias("value")).write.text(path)
     return path
 
 
@@ -65,11 +66,13 @@ def columns_of_lines(t: Tables) -> DataFrame:
     return found.select(F.col("key").cast("bigint").alias("s_suppkey"), F.col("nation").cast("bigint").alias("nation"), "name")
 
 
-def _items(t: Tables) -> DataFrame:
-    """Orders' lines: an order's first line names it, then come its items' lines."""
-    item = t("lineitem").select(F.col("l_orderkey").alias("k"), F.lit(1).alias("at"), "l_linenumber", "l_partkey", F.col("l_quantity").cast("bigint").alias("q"))
-    head = t("orders").select(F.col("o_orderkey").alias("k"), F.lit(0).alias("at"), F.lit(0).cast("int").alias("l_linenumber"), F.lit(0).cast("bigint").alias("l_partkey"), F.lit(0).cast("bigint").alias("q"))
-    return head.unionByName(item.join(t("orders").select(F.col("o_orderkey").alias("k")), "k", "left_semi"))
+def _items(t: Tables, *, ended: bool = False) -> DataFrame:
+    """Orders' lines: an order's first line names it, then come its items' lines, and an end mark where ``ended``; dealt by order, by one shuffle."""
+    rows = t("lineitem").where("l_orderkey is not null").select(F.col("l_orderkey").alias("k"), F.lit(1).alias("at"), "l_linenumber", "l_partkey", F.col("l_quantity").cast("bigint").alias("q"))
+    for at in (0, 2) if ended else (0,):
+        rows = rows.unionByName(t("orders").select(F.col("o_orderkey").alias("k"), F.lit(at).alias("at"), F.lit(0).cast("int").alias("l_linenumber"), F.lit(0).cast("bigint").alias("l_partkey"), F.lit(0).cast("bigint").alias("q")))
+    first = F.first("at").over(W.partitionBy("k").orderBy("at", "l_linenumber").rowsBetween(W.unboundedPreceding, 0))
+    return rows.repartition("k").withColumn("_head", first).where("_head = 0").drop("_head")
 
 
 def _line() -> Column:
@@ -79,7 +82,7 @@ def _line() -> Column:
 @query("SELECT o_orderkey, l_partkey, l_quantity::BIGINT AS quantity FROM lineitem JOIN orders ON o_orderkey = l_orderkey")
 def headers_midway(t: Tables) -> DataFrame:
     """Data lines with the last header line above them."""
-    path = written(_items(t), ["k"], ["at", "l_linenumber"], _line(), "headers")
+    path = written(_items(t), ["k"], ["at", "l_linenumber"], _line(), "headers", dealt=True)
     found = T.inherited_headers(T.lines(t("orders").sparkSession, path), F.col("value").startswith("ID "))
     parts = F.split("value", " ")
     return found.select(F.substring("header", 4, 20).cast("bigint").alias("o_orderkey"), parts[0].cast("bigint").alias("l_partkey"), parts[1].cast("bigint").alias("quantity"))
@@ -97,16 +100,15 @@ def _summed(found: DataFrame, values: str) -> DataFrame:
 @query(RECORDS_SQL)
 def blocks_of_lines(t: Tables) -> DataFrame:
     """Records that begin at a marked line, gathered from lines."""
-    path = written(_items(t), ["k"], ["at", "l_linenumber"], _line(), "blocks")
+    path = written(_items(t), ["k"], ["at", "l_linenumber"], _line(), "blocks", dealt=True)
     return _summed(T.blocks(T.lines(t("orders").sparkSession, path), F.col("value").startswith("ID ")), "values")
 
 
 @query(RECORDS_SQL)
 def records_by_byte_range(t: Tables) -> DataFrame:
     """The same records, with an end mark, out of byte ranges of the files."""
-    spark, rows = t("orders").sparkSession, _items(t)
-    ends = t("orders").select(F.col("o_orderkey").alias("k"), F.lit(2).alias("at"), F.lit(0).cast("int").alias("l_linenumber"), F.lit(0).cast("bigint").alias("l_partkey"), F.lit(0).cast("bigint").alias("q"))
-    path = written(rows.unionByName(ends), ["k"], ["at", "l_linenumber"], F.when(F.col("at") == 2, "//").otherwise(_line()), "ranges")
+    spark = t("orders").sparkSession
+    path = written(_items(t, ended=True), ["k"], ["at", "l_linenumber"], F.when(F.col("at") == 2, "//").otherwise(_line()), "ranges", dealt=True)
     spark.dataSource.register(MarkedRecords)
     found = spark.read.format("marked_records").option("start", "ID ").option("end", "//").option("split_bytes", str(64 << 10)).load(path)
     return _summed(found.where("state = 'whole'"), "lines")

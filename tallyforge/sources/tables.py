@@ -68,40 +68,47 @@ def after_header(rows: DataFrame, token: str) -> DataFrame:
 STRETCH, STRETCHES = 1 << 16, 4
 
 
-def _in_stretches(rows: DataFrame, value: Column, within, over) -> tuple[DataFrame, Column]:
-    """The rows with ``_own``, what ``value`` comes to inside a stretch of lines so far, and what it came to before the stretch.
-
-    ``within`` and ``over`` make an aggregate of a column: the first over a stretch's lines in order, the second over
-    the stretches of a file, of which there are few. Stretches are dealt to as many tasks as keep a task's share small
-    whatever the files' size, under a short number for their path.
-    """
+def _stretches(rows: DataFrame, *facts: Column) -> tuple[DataFrame, int]:
+    """path, _s, _id (a short number) and facts of each stretch of lines; and to how many tasks stretches are dealt, so that a task's share is small whatever the files' size."""
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ends = rows.withColumn("_v", value).groupBy("path", F.expr(f"line div {STRETCH}").alias("_s")).agg(over("_v", "line").alias("_all"), F.count("*").alias("_lines"))
+    ends = rows.groupBy("path", F.expr(f"line div {STRETCH}").alias("_s")).agg(*facts, F.count("*").alias("_lines"))
     ends = Scratch(rows.sparkSession, "stretches").keep(ends.withColumn("_id", F.monotonically_increasing_id()), "ends")
     share = ends.agg(F.count("*"), F.sum("_lines")).first()
-    tasks = max(parts, -(-share[0] // STRETCHES)) if (share[1] or 0) > STRETCH * STRETCHES * parts else parts
-    earlier = W.partitionBy("path").orderBy("_s").rowsBetween(W.unboundedPreceding, -1)
-    before = ends.select("path", "_s", "_id", within("_all").over(earlier).alias("_before"))
-    named = rows.withColumn("_s", F.expr(f"line div {STRETCH}")).join(F.broadcast(before.select("path", "_s", "_id")), ["path", "_s"]).drop("path", "_s")
-    w = W.partitionBy("_id").orderBy("line").rowsBetween(W.unboundedPreceding, 0)
-    own = named.repartition(tasks, "_id").withColumn("_v", value).withColumn("_own", within("_v").over(w)).drop("_v")
-    return own.join(F.broadcast(before.drop("_s")), "_id").drop("_id"), F.col("_before")
+    return ends, max(parts, -(-share[0] // STRETCHES)) if (share[1] or 0) > STRETCH * STRETCHES * parts else parts
+
+
+def _earlier():
+    """The stretches of a file before one."""
+    return W.partitionBy("path").orderBy("_s").rowsBetween(W.unboundedPreceding, -1)
 
 
 def inherited_headers(rows: DataFrame, is_header: Column) -> DataFrame:
     """Data lines with the last header line above them, for files that change their header midway; a large file is many tasks."""
-    header = F.when(is_header, F.col("value"))
-    last = lambda c: F.last(c, ignorenulls=True)
-    found, before = _in_stretches(rows, header, last, lambda v, at: F.max_by(v, F.when(F.col(v).isNotNull(), F.col(at))))
-    out = found.withColumn("header", F.coalesce("_own", before)).drop("_own", "_before")
+    header, last = F.when(is_header, F.col("value")), lambda c: F.last(c, ignorenulls=True)
+    ends, tasks = _stretches(rows, F.max_by(header, F.when(header.isNotNull(), F.col("line"))).alias("_all"))
+    before = ends.select("path", "_s", "_id", last("_all").over(_earlier()).alias("_before"))
+    named = rows.withColumn("_s", F.expr(f"line div {STRETCH}")).join(F.broadcast(before.select("path", "_s", "_id")), ["path", "_s"]).drop("path", "_s")
+    w = W.partitionBy("_id").orderBy("line").rowsBetween(W.unboundedPreceding, 0)
+    found = named.repartition(tasks, "_id").withColumn("header", last(header).over(w)).join(F.broadcast(before.drop("_s")), "_id").drop("_id")
+    out = found.withColumn("header", F.coalesce("header", "_before")).drop("_before")
     return out.where(~is_header & F.col("header").isNotNull())
 
 
 def blocks(rows: DataFrame, starts: Column) -> DataFrame:
-    """Lines gathered to records that begin where ``starts`` holds: path, record, first line, lines in order; a large file is many tasks."""
-    found, before = _in_stretches(rows, F.when(starts, 1).otherwise(0), F.sum, lambda v, at: F.sum(v))
-    marked = found.withColumn("record", F.col("_own") + F.coalesce(before, F.lit(0))).where("record > 0")
-    return marked.groupBy("path", "record").agg(F.min("line").alias("first_line"), F.array_sort(F.collect_list(F.struct("line", "value")))["value"].alias("values"))
+    """Lines gathered to records that begin where ``starts`` holds: path, record, first line, lines in order; a large file is many tasks.
+
+    Lines above a stretch's first start go with the last stretch before it that has one, so that each record lies whole in one task and lines are shuffled once.
+    """
+    start = F.coalesce(starts, F.lit(False))
+    ends, tasks = _stretches(rows, F.count_if(start).alias("_all"), F.min(F.when(start, F.col("line"))).alias("_first"))
+    home = F.last(F.when(F.col("_all") > 0, F.col("_id")), ignorenulls=True).over(_earlier())
+    ends = ends.select("path", "_s", "_id", "_first", home.alias("_home"), F.coalesce(F.sum("_all").over(_earlier()), F.lit(0)).alias("_before"))
+    named = rows.withColumn("_s", F.expr(f"line div {STRETCH}")).join(F.broadcast(ends.drop("_before")), ["path", "_s"])
+    named = named.select(F.when(F.col("line") >= F.col("_first"), F.col("_id")).otherwise(F.col("_home")).alias("_id"), "line", "value").where("_id is not null")
+    w = W.partitionBy("_id").orderBy("line").rowsBetween(W.unboundedPreceding, 0)
+    own = named.repartition(tasks, "_id").withColumn("_own", F.count_if(start).over(w))
+    whole = own.groupBy("_id", "_own").agg(F.min("line").alias("first_line"), F.array_sort(F.collect_list(F.struct("line", "value")))["value"].alias("values"))
+    return whole.join(F.broadcast(ends.select("_id", "path", "_before")), "_id").select("path", (F.col("_own") + F.col("_before")).alias("record"), "first_line", "values")
 
 
 def multi_line(rows: DataFrame, size: int, markers: list[str] | None = None) -> DataFrame:

@@ -77,6 +77,30 @@ def test_lines_are_numbered_where_they_are_read(spark, tmp_path):
     assert lines_side.count("Join") == 1
 
 
+def test_lines_of_blocks_are_shuffled_once(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("tallyforge.sources.tables.STRETCH", 4)
+    for name, n in (("a.txt", 30), ("b.txt", 3)):  # a long record over stretches without a start, then several in one stretch
+        put(tmp_path / name, "\n".join(["lost", "#1", *(f"v{i}" for i in range(n)), "#2", "#3", "w", "#4"]))
+    found = T.blocks(T.lines(spark, str(tmp_path)), F.col("value").startswith("#"))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("hashpartitioning(_id") == 1 and "record" not in " ".join(x for x in plan.splitlines() if "Exchange hashpartitioning" in x)
+    want = [(r, at, n) for k in (30, 3) for r, at, n in ((1, 2, k + 1), (2, k + 3, 1), (3, k + 4, 2), (4, k + 6, 1))]
+    assert rows(found, "record", "first_line", F.size("values")) == sorted(want)
+
+
+def test_items_without_their_order_are_no_lines(spark):
+    from tallyforge.plans import readers
+
+    tables = {
+        "orders": spark.createDataFrame([(1,), (2,)], "o_orderkey long"),
+        "lineitem": spark.createDataFrame([(1, 1, 7, 2.0), (1, 2, 8, 3.0), (3, 1, 9, 4.0), (None, 1, 9, 4.0)], "l_orderkey long, l_linenumber int, l_partkey long, l_quantity double"),
+    }
+    for query in (readers.blocks_of_lines, readers.records_by_byte_range):
+        assert rows(query(tables.get), "o_orderkey", "items", "quantity") == [(1, 2, 5), (2, 0, 0)]
+    plan = readers._items(tables.get)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1, "orders and items are dealt once"
+
+
 def test_more_stretches_are_more_tasks(spark, tmp_path, monkeypatch):
     monkeypatch.setattr("tallyforge.sources.tables.STRETCH", 8)
     path = put(tmp_path / "t.txt", "\n".join("#h" if i % 9 == 0 else f"v{i}" for i in range(1000)))
