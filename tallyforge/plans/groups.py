@@ -136,10 +136,9 @@ def words_in_pieces(t: Tables) -> DataFrame:
     starts = F.transform(F.sequence(F.lit(1), F.least(n, F.lit(4))), lambda k: F.struct(F.substr("word", F.lit(1), k).alias("piece"), F.lit(False).alias("inside")))
     ends = F.transform(F.filter(F.array(F.lit(1), F.lit(2), F.lit(3)), lambda k: k < n), lambda k: F.struct(F.substr("word", n - k + 1, k).alias("piece"), F.lit(True).alias("inside")))
     pieces = words("benchmark").select(F.explode(F.concat(starts, ends)).alias("e")).select("e.piece", "e.inside").distinct()
-    vocabulary = R.dictionary(pieces.select("piece").distinct(), "piece").join(pieces, "piece").select("piece", "inside", F.col("code").alias("id"))
-    coded = word_codes(words("documents"), vocabulary).select("word", F.posexplode_outer("ids").alias("at", "id"))
-    named = coded.join(vocabulary.select("id", "piece").distinct(), "id", "left").groupBy("word").agg(F.array_sort(F.collect_list(F.struct("at", F.coalesce("piece", F.lit("?")).alias("p")))).alias("x"))
-    return named.select("word", F.array_join(F.transform("x", lambda e: e["p"]), " ").alias("pieces"))
+    vocabulary = R.dictionary(pieces.select("piece").distinct(), "piece", capacity=None).join(pieces, "piece").select("piece", "inside", F.col("code").alias("id"))
+    coded = word_codes(words("documents"), vocabulary, longest=None)
+    return coded.select("word", F.coalesce(F.array_join("pieces", " "), F.lit("?")).alias("pieces"))
 
 
 @query(

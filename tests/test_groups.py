@@ -153,6 +153,62 @@ def test_word_codes(spark):
     assert {tuple(r.ids) for r in word_codes(df, table.limit(0)).where("word <> ''").collect()} == {(0,)}
 
 
+@pytest.mark.parametrize("block", [1 << 22, 40, 12])
+def test_word_codes_in_blocks_and_without_a_bound(spark, monkeypatch, block):
+    from tallyforge.operators import wordpieces
+
+    monkeypatch.setattr(wordpieces, "BLOCK", block)
+    rnd = random.Random(3)
+    pieces = {(p, i): n for n, (p, i) in enumerate([("a", False), ("ab", False), ("abca", False), ("b", True), ("ca", True), ("é𝄞", True), ("bcab", True)], -2)}
+    words = {"".join(rnd.choices(["a", "b", "ca", "é𝄞", "bc"], k=rnd.randint(0, 8))) for _ in range(150)} | {"ab" + "ca" * 60, "abc" * 50}
+
+    def spelled(w):
+        out, at = [], 0
+        while at < len(w):
+            n = next((n for n in range(len(w) - at, 0, -1) if (w[at : at + n], at > 0) in pieces), None)
+            if n is None:
+                return [7], None
+            out.append(w[at : at + n])
+            at += n
+        return [pieces[p, k > 0] for k, p in enumerate(out)], out
+
+    table = spark.createDataFrame([*((p, i, n) for (p, i), n in pieces.items()), ("a", None, -9), (None, True, -9)], "piece string, inside boolean, id int")
+    df = spark.createDataFrame([(w,) for w in [*words, *words, None]], "w string")
+    got = word_codes(df, table, word="w", unknown=7, longest=None).collect()
+    assert {r.word: (r.ids, r.pieces) for r in got} == {w: spelled(w) for w in words} and len(got) == len(words)
+    assert len(spelled("ab" + "ca" * 60)[1]) == 60 and sum(spelled(w)[1] is None for w in words) > 20
+
+
+def test_word_codes_take_no_job_a_piece(spark):
+    table = spark.createDataFrame([("a", False, 1), ("b", True, 2)], "piece string, inside boolean, id int")
+    spark.sparkContext.setJobGroup("pieces", "pieces of a long word")
+    try:
+        assert [len(r.ids) for r in word_codes(spark.createDataFrame([("a" + "b" * 39,)], "word string"), table).collect()] == [40]
+        assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("pieces")) < 12
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+@pytest.mark.parametrize("many", [False, True])
+def test_words_in_pieces_of_any_length_and_number(spark, tmp_path, many):
+    import duckdb
+
+    from tallyforge.queries import ORACLES, QUERIES
+
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    known = [a + b + c + d for a in letters for b in letters for c in letters for d in "abcd"] if many else ["abcc", "accc", "ab"]
+    assert len({p for w in known for p in (w[:1], w[:2], w[:3], w)}) > (65_535 if many else 3)
+    documents = [("ab" + "c" * 148 + " ABC, abz " + "ab" + "c" * 148 + "z",), (None,), ("",)]
+    for name, rows in {"documents": documents, "benchmark": [(" ".join(known),)]}.items():
+        spark.createDataFrame(rows, "text string").coalesce(1).write.parquet(f"{tmp_path}/{name}.parquet")
+    found = sorted((r.word, r.pieces) for r in QUERIES["words_in_pieces"](spark, str(tmp_path)).collect())
+    db = duckdb.connect()
+    for name in ("documents", "benchmark"):
+        db.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{tmp_path}/{name}.parquet/*.parquet')")
+    assert found == sorted(db.execute(ORACLES["words_in_pieces"]).fetchall())
+    assert len(found) == 4 and max(len(p.split()) for _, p in found) > 45
+
+
 def test_eligibility(spark):
     rows = [("ok", i, i, i % 3) for i in range(9)] + [("few", 1, 1, 1), ("few", 2, 2, 2)] + [("flat", i, i, 4) for i in range(9)] + [("big", i, i, 250 + i) for i in range(9)]
     rows += [("part", i, i, i + 0.5 if i == 5 else i) for i in range(9)] + [("gap", i, i, None if i == 5 else i) for i in range(9)] + [("back", i, 0 if i == 5 else i, i) for i in range(9)] + [("nulls", i, None if i == 5 else i, i) for i in range(9)]
