@@ -32,11 +32,10 @@ def word_codes(words: DataFrame, vocabulary: DataFrame, *, word: str = "word", u
     blocks = max(1, -(-(pieces.agg(F.sum(F.length("piece") + 8)).first()[0] or 0) // BLOCK))
     none = F.array().cast("array<int>")
     rows = words.select(F.col(word).alias("word")).where(F.col("word").isNotNull()).distinct().select("word", none.alias("sizes"), none.alias("met"))
-    for k in range(blocks):
-        block = pieces.where(F.pmod(F.xxhash64("piece", "inside"), F.lit(blocks)) == k).select("piece", "inside", "id").toArrow()
-        if k == blocks - 1:
-            return rows.mapInArrow(_spelled(block, unknown, longest), "word string, ids array<int>, pieces array<string>")
-        rows = scratch.keep(rows.mapInArrow(_met(block, longest), "word string, sizes array<int>, met array<int>"), f"met-{k}")
+    block = lambda k: pieces.where(F.pmod(F.xxhash64("piece", "inside"), F.lit(blocks)) == k).select("piece", "inside", "id").toArrow()
+    for k in range(blocks - 1):
+        rows = scratch.keep(rows.mapInArrow(_met(block(k), longest), "word string, sizes array<int>, met array<int>"), f"met-{k}")
+    return rows.mapInArrow(_spelled(block(blocks - 1), unknown, longest), "word string, ids array<int>, pieces array<string>")
 
 
 def _longest(block: pa.Table) -> Callable[[str, int], tuple[int, int | None]]:
